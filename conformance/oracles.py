@@ -495,5 +495,17 @@ SELECT topic_id, topic_name, topic_size, row_number() OVER (PARTITION BY topic_i
         + """ SELECT row_id AS original_row_index, original_comment, cleaned_text, topic_id, topic_name,
   array_to_string(kws, ', ') AS keywords, coalesce(sentiment, '') AS sentiment, coalesce(severity, '') AS severity
   FROM comments JOIN attributed USING (topic_id)""",
+        "csv_roundtrip": "SELECT doc_id, text, lang FROM documents",
+        "csv_legacy_encoding": rf"""SELECT id AS doc_id,
+  regexp_replace(text, '[^\x20-\x7e\x{{0621}}-\x{{063A}}\x{{0641}}-\x{{064A}}]', '', 'g') AS text FROM ({SCRIPT})""",
+        "row_positions": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_position FROM documents",
+        "dataset_signature": """WITH d AS (SELECT ('0x' || md5(doc_id || ':' || text)[1:15])::BIGINT AS h FROM documents)
+SELECT md5(concat_ws('-', count(*), sum(h), bit_xor(h), ''))[1:12] AS signature FROM d""",
+        "vector_cache": """SELECT vec_id AS row_id, len(embedding)::INTEGER AS width,
+  round(embedding[1]::DOUBLE, 6) AS first_value FROM embeddings""",
+        "checkpoint_roundtrip": COMMENTS + " SELECT topic_id, row_id, topic_size FROM comments JOIN sizes USING (topic_id)",
+        "sink_roundtrip": COMMENTS
+        + """ SELECT row_id AS original_row_index, original_comment, cleaned_text, frequency, topic_size
+  FROM comments JOIN sizes USING (topic_id) WHERE topic_id = -1""",
     }
     return sql

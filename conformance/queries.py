@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.functions import answers as A
@@ -23,10 +23,17 @@ from voxloom.operators import metrics as M
 from voxloom.operators import quality as Q
 from voxloom.operators import representatives as R
 from voxloom.operators.arrays import centroids, norm, unit
+from voxloom.operators.embedding import hashed_tfidf
+from voxloom.operators.kmeans import kmeans_labels
 from voxloom.operators.lookup import settled
+from voxloom.operators.reduction import reduced
 from voxloom.plans import analysis as AN
 from voxloom.plans import reports as RP
+from voxloom.plans.discovery import discover
+from voxloom.session import scratch_path
 from voxloom.settings import Settings
+from voxloom.sources import sinks, state
+from voxloom.sources.comments import load_comments, spread, with_position
 
 SETTINGS = Settings()
 LATIN = "abcdefghijklmnopqrstuvwxyz.,0123"
@@ -39,7 +46,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"))
 
 
 def arabic_script(spark, sf):
@@ -49,13 +56,13 @@ def arabic_script(spark, sf):
 
 
 def pages_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
+    return spread(table(spark, sf, "pages")).select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
 
 
 def labels(spark, sf):
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
     given = F.when(F.col("label").isNull() | (F.col("label") == 9), -1).otherwise(F.col("label"))
-    joined = documents(spark, sf).select("doc_id", "lang").join(vectors, "doc_id", "left")
+    joined = spread(table(spark, sf, "documents")).select("doc_id", "lang").join(vectors, "doc_id", "left")
     return joined.select(F.col("doc_id").alias("row_id"), "lang", given.alias("topic_id"))
 
 
@@ -538,6 +545,122 @@ def feedback_named(spark, sf):
     return RP.feedback_with_topics(comments(spark, sf), named_topics(spark, sf), SETTINGS)
 
 
+# ---- sources, state and topic discovery -----------------------------------------------------------------
+def csv_roundtrip(spark, sf):
+    """All documents through CSV files: quotes and line breaks inside the texts have to survive."""
+    path = scratch_path(spark, "documents")
+    rows = documents(spark, sf).select("doc_id", "text", "lang")
+    rows.write.options(**sinks.CSV_OPTIONS).csv(path)
+    return load_comments(spark, path, schema="doc_id bigint, text string, lang string")
+
+
+def csv_legacy_encoding(spark, sf):
+    """The Arabic-script texts through files in Windows Arabic, recognised by their bytes."""
+    path = scratch_path(spark, "arabic")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    rows = arabic_script(spark, sf).select("doc_id", only_legacy_letters(F.col("text")).alias("text"))
+    rows.write.options(**sinks.CSV_OPTIONS, encoding="windows-1256").csv(path)
+    return load_comments(spark, path, schema="doc_id bigint, text string")
+
+
+def only_legacy_letters(c):
+    return F.regexp_replace(c, r"[^\x20-\x7e\x{0621}-\x{063A}\x{0641}-\x{064A}]", "")
+
+
+def row_positions(spark, sf):
+    """The position of every document in its file."""
+    rows = table(spark, sf, "documents").select("doc_id", F.col("_metadata").alias("_file"))
+    return with_position(rows, "row_position", SETTINGS).select("doc_id", "row_position")
+
+
+def dataset_signature(spark, sf):
+    return state.signature_row(documents(spark, sf), "doc_id", "text")
+
+
+def vector_cache(spark, sf):
+    """The given vectors made once, then read back from the cache by a second call."""
+    folder = scratch_path(spark, "cache")
+    given = table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("vec"))
+
+    def unexpected(rows):
+        raise RuntimeError("the cached vectors were not found")
+
+    ids = given.select("row_id")
+    state.cached_vectors(ids, lambda rows: rows.join(given, "row_id"), folder, "given", "s1")
+    again = state.cached_vectors(ids, unexpected, folder, "given", "s1")
+    return again.select("row_id", F.size("vec").alias("width"), F.round(F.col("vec")[0].cast("double"), 6).alias("first_value"))
+
+
+def checkpoint_roundtrip(spark, sf):
+    """Topics saved and loaded by signature; another signature finds nothing."""
+    folder = scratch_path(spark, "state")
+    stats = C.cleaning_stats(documents(spark, sf), "text", "doc_id")
+    tables = {
+        "labels": topic_texts(spark, sf).select("row_id", "topic_id"),
+        "keywords": keywords(spark, sf),
+        "topics": topics(spark, sf),
+        "params": given_params(spark, sf),
+        "metrics": M.share_figures(topic_sizes(spark, sf)),
+        "stats": stats,
+    }
+    state.save_result(tables, folder, "now")
+    if state.load_result(spark, folder, "other") is not None:
+        raise RuntimeError("a result of other data was served")
+    loaded = state.load_result(spark, folder, "now")
+    return loaded["labels"].join(loaded["topics"].select("topic_id", "topic_size"), "topic_id")
+
+
+def sink_roundtrip(spark, sf):
+    """The noise table through the Parquet sink and the topic sizes through the JSON sink."""
+    folder = scratch_path(spark, "sinks")
+    sinks.write_tables({"noise_comments": noise_comments(spark, sf)}, folder)
+    sinks.write_json(topic_sizes(spark, sf), f"{folder}/sizes")
+    sizes = spark.read.schema("topic_id int, topic_size bigint").json(f"{folder}/sizes")
+    noise = spark.read.parquet(f"{folder}/noise_comments")
+    return noise.withColumn("topic_id", F.lit(-1)).join(sizes, "topic_id").select(
+        "original_row_index", "original_comment", "cleaned_text", "frequency", "topic_size"
+    )
+
+
+def cleaned_ids(spark, sf):
+    return C.kept_rows(documents(spark, sf), "text", "doc_id").withColumnRenamed("original_row_index", "row_id")
+
+
+def hashed_vectors(spark, sf):
+    rows = hashed_tfidf(cleaned_ids(spark, sf), SETTINGS)
+    return rows.select("row_id", F.size("vec").alias("width"), F.round(norm(F.col("vec")), 4).alias("length"))
+
+
+def reduced_vectors(spark, sf):
+    """Five principal components of the given vectors."""
+    given = table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("vec"))
+    rows = reduced(given, given.count(), SETTINGS)
+    return rows.select("row_id", F.posexplode("vec").alias("component", "value"))
+
+
+def kmeans_topics(spark, sf):
+    given = table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("vec"))
+    n = given.count()
+    k = spark.range(1).select(P.fallback_k(F.lit(n)).alias("k")).first()["k"]
+    return kmeans_labels(settled(reduced(given, n, SETTINGS)), k, SETTINGS)
+
+
+def discovery(spark, sf):
+    rows = cleaned_ids(spark, sf).select("row_id", "cleaned_text")
+    vectors = settled(hashed_tfidf(rows, SETTINGS))
+    return discover(rows, vectors, SETTINGS, "hashed")
+
+
+def discovered_labels(spark, sf):
+    """A topic or noise for every cleaned document, from its own text."""
+    return discovery(spark, sf).labels
+
+
+def discovered_topics(spark, sf):
+    topics_found = discovery(spark, sf).topics
+    return topics_found.select("topic_id", "topic_size", "auto_name", F.array_join("keywords", ", ").alias("keywords"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_urls": text_rule(pages_text, "page_id", T.drop_urls),
     "drop_emoji": text_rule(arabic_script, "doc_id", T.drop_emoji),
@@ -611,4 +734,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exec_prompt": exec_prompt,
     "topic_summary_named": topic_summary_named,
     "feedback_named": feedback_named,
+    "csv_roundtrip": csv_roundtrip,
+    "csv_legacy_encoding": csv_legacy_encoding,
+    "row_positions": row_positions,
+    "dataset_signature": dataset_signature,
+    "vector_cache": vector_cache,
+    "checkpoint_roundtrip": checkpoint_roundtrip,
+    "sink_roundtrip": sink_roundtrip,
+    "hashed_vectors": hashed_vectors,
+    "reduced_vectors": reduced_vectors,
+    "kmeans_topics": kmeans_topics,
+    "discovered_labels": discovered_labels,
+    "discovered_topics": discovered_topics,
 }

@@ -9,19 +9,35 @@ from pyspark.sql import functions as F
 SPACE_CLASS = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# The same characters one by one, without the plain space.
+OTHER_SPACES = "".join(
+    chr(c)
+    for first, last in (
+        (0x09, 0x0D), (0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+        (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    )
+    for c in range(first, last + 1)
+)
 # Pictographs, dingbats, flags, variation selectors, arrows.
 EMOJI_CLASS = (
     r"\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}\x{1F1E6}-\x{1F1FF}\x{FE00}-\x{FE0F}\x{2190}-\x{21FF}"
 )
 # Punctuation whose runs collapse to their last character.
 RUN_PUNCTUATION = r"!?.,:\-_،؛"
-# Arabic marks to strip; letters U+0621-064A are not among them.
-DIACRITICS_CLASS = (
-    r"\x{0610}-\x{061A}\x{064B}-\x{065F}\x{0670}\x{06D6}-\x{06DC}\x{06DF}-\x{06E8}\x{06EA}-\x{06ED}"
+# First and last code points of the Arabic marks to strip; letters (U+0621-064A) are not
+# among them.
+DIACRITIC_RANGES = (
+    (0x0610, 0x061A),
+    (0x064B, 0x065F),
+    (0x0670, 0x0670),
+    (0x06D6, 0x06DC),
+    (0x06DF, 0x06E8),
+    (0x06EA, 0x06ED),
 )
-# Letter variants and their unified form; the last one (tatweel) has none and is dropped.
-ARABIC_VARIANTS = "أإآىةـ"
+# Letter variants and their unified form; tatweel has none and is dropped.
+ARABIC_VARIANTS = "أإآىة"
 ARABIC_UNIFIED = "ااايه"
+TATWEEL = "ـ"
 ARABIC_BLOCK = r"[\x{0600}-\x{06FF}]"
 
 
@@ -44,8 +60,9 @@ def shorten_elongation(c: Column, letters_only: bool = False) -> Column:
 
 
 def unify_arabic(c: Column) -> Column:
-    stripped = F.regexp_replace(c, f"[{DIACRITICS_CLASS}]", "")
-    return F.translate(stripped, ARABIC_VARIANTS, ARABIC_UNIFIED)
+    """One pass over the characters: variants are replaced, marks and tatweel have no replacement."""
+    marks = "".join(chr(m) for first, last in DIACRITIC_RANGES for m in range(first, last + 1))
+    return F.translate(c, ARABIC_VARIANTS + TATWEEL + marks, ARABIC_UNIFIED)
 
 
 def normalize_arabic(c: Column, letters_only: bool = False) -> Column:
@@ -53,7 +70,9 @@ def normalize_arabic(c: Column, letters_only: bool = False) -> Column:
 
 
 def normalize_spaces(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, f"[{SPACE_CLASS}]+", " "))
+    """Any white space becomes a plain space first; the regex then only meets real runs."""
+    plain = F.translate(c, OTHER_SPACES, " " * len(OTHER_SPACES))
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 def clean_text(c: Column, letters_only: bool = False) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import tokens as K
 from voxloom.functions.stopwords import stop_words
+from voxloom.operators.lookup import settled
 from voxloom.settings import Settings
 
 
@@ -23,24 +24,18 @@ def gram_rows(comments: DataFrame, settings: Settings, stops: list[str] | None =
 def topic_term_counts(comments: DataFrame, settings: Settings) -> DataFrame:
     """topic_id, term, cnt, docs: occurrences and comments per topic and term, noise included.
 
-    Every gram counts once as an occurrence, and every distinct gram of a comment once as a document;
-    both come out of the row itself, so the only shuffle is that of the combined (topic, term) counts.
+    A comment's sorted grams stand next to their predecessors, so a gram that differs from the one
+    before it is the first of its kind in the comment. Both counts come out of the row itself; the only
+    shuffle is that of the combined (topic, term) counts.
     """
-    grams = gram_rows(comments, settings)
-    marked = grams.select(
-        "topic_id",
-        F.explode(
-            F.concat(
-                F.transform("grams", lambda g: F.struct(g.alias("term"), F.lit(0).alias("is_doc"))),
-                F.transform(
-                    F.array_distinct("grams"), lambda g: F.struct(g.alias("term"), F.lit(1).alias("is_doc"))
-                ),
-            )
-        ).alias("g"),
+    in_order = gram_rows(comments, settings).select("topic_id", F.sort_array("grams").alias("term"))
+    before = F.concat(F.array(F.lit("")), F.col("term")).alias("before")
+    pairs = in_order.select("topic_id", "term", before).select(
+        "topic_id", F.explode(F.arrays_zip("term", "before")).alias("g")
     )
-    return marked.groupBy("topic_id", F.col("g.term").alias("term")).agg(
-        F.count(F.when(F.col("g.is_doc") == 0, 1)).alias("cnt"),
-        F.sum(F.col("g.is_doc").cast("long")).alias("docs"),
+    pairs = pairs.select("topic_id", "g.term", "g.before").filter("term is not null")
+    return pairs.groupBy("topic_id", "term").agg(
+        F.count("*").alias("cnt"), F.count(F.when(F.col("term") != F.col("before"), 1)).alias("docs")
     )
 
 
@@ -72,13 +67,14 @@ def mean_class_tokens(vocab: DataFrame) -> DataFrame:
     ).withColumn("mean_tokens", F.col("all_tokens").cast("double") / F.col("n_topics"))
 
 
-def ctfidf(comments: DataFrame, settings: Settings, n_topics: Column | None = None) -> DataFrame:
+def ctfidf(comments: DataFrame, settings: Settings) -> DataFrame:
     """topic_id, rank, term, score: the ``top_keywords`` best terms of every topic.
 
     Within a topic the order does not depend on the topic's own total, so terms are cut to the best
     few first (per map task already, by Spark's group limit) and only those are divided by the total.
     """
-    vocab = vocabulary(topic_term_counts(comments, settings), settings)
+    # read four times below: kept on the executors, it is far smaller than the texts it comes from
+    vocab = settled(vocabulary(topic_term_counts(comments, settings), settings))
     topics = comments.filter("topic_id <> -1").agg(F.count_distinct("topic_id").alias("n"))
     mean_tokens = vocab.agg(F.sum("cnt").cast("double")).scalar() / F.greatest(topics.scalar(), F.lit(1))
     weighted = vocab.filter("topic_id <> -1").withColumn(

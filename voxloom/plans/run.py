@@ -16,7 +16,7 @@ from voxloom.plans import analysis, reports
 from voxloom.plans.discovery import discover
 from voxloom.settings import Settings
 from voxloom.sources import sinks, state
-from voxloom.sources.comments import load_comments, pick_comment_column
+from voxloom.sources.comments import load_comments, pick_comment_column, spread
 
 
 @dataclass(frozen=True)
@@ -169,7 +169,8 @@ def run_all(
     """
     if isinstance(source, str):
         row_col = "_row"
-        source = load_comments(spark or SparkSession.getActiveSession(), source, row_col=row_col, settings=settings)
+        session = spark or SparkSession.getActiveSession()
+        source = spread(load_comments(session, source, row_col=row_col, settings=settings))
     elif row_col is None:
         raise ValueError("A table needs row_col, the name of its unique id column.")
     session = source.sparkSession

@@ -69,7 +69,8 @@ def load_comments(
     rows = tracked[0]
     for more in tracked[1:]:
         rows = rows.unionByName(more)
-    return rows.drop("_file") if row_col is None else with_position(rows, row_col, settings).drop("_file")
+    rows = rows if row_col is None else with_position(rows, row_col, settings)
+    return rows.drop("_file")
 
 
 def _plain(file: str) -> str:
@@ -108,6 +109,16 @@ def with_position(rows: DataFrame, row_col: str, settings: Settings = Settings()
     )
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Give every task slot work when a freshly read table has fewer partitions than slots.
+
+    Cleaning and tokens are heavy per byte, and a file with one row group or quoted line breaks is one
+    task. Tables with enough partitions, as any large one has, are left alone.
+    """
+    slots = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= slots else table.repartition(slots)
+
+
 def pick_comment_column(df: DataFrame, name: str) -> str:
     if name not in df.columns:
         raise KeyError(f"Column {name!r} not found; choose one of {df.columns}.")

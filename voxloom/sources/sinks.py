@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# quotes are doubled, and blanks at the ends of a text stay
+CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def write_tables(tables: dict[str, DataFrame], folder: str, file_format: str = "parquet") -> None:
-    """Write each table to ``folder/name``; CSV gets a header and doubles its quotes."""
+    """Write each table to ``folder/name``; CSV gets a header."""
     for name, df in tables.items():
         writer = df.write.mode("overwrite")
         if file_format == "csv":
-            writer.options(header=True, escape='"', quoteAll=False).csv(f"{folder}/{name}")
+            writer.options(**CSV_OPTIONS).csv(f"{folder}/{name}")
         else:
             writer.format(file_format).save(f"{folder}/{name}")
 
