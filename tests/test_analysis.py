@@ -70,22 +70,23 @@ def payloads(spark):
 
 
 def test_staged_answers_retry_and_fallback(spark):
-    asked = []
+    named = {t: text(business_name=f"name for {t}") for t in "01"}
+    refused, mark = text(severity="?"), X.RETRY_HEAD.strip()
 
     def chat(prompts):
         (prompt,) = prompts
-        topic, retry = prompt.split()[1], X.RETRY_HEAD.strip() in prompt
-        if topic == "0" or (topic == "1" and retry):
-            return [text(business_name=f"name for {topic}")]
+        topic = prompt.split()[1]
+        if topic == "0" or (topic == "1" and mark in prompt):
+            return [named[topic]]
         if topic == "2":
             raise RuntimeError("model down")
-        return [text(severity="?")]
+        return [refused]
 
     stages = []
     got = AN.analysed(payloads(spark), AN.answers_from_model(chat, 2), SETTINGS, on_stage=lambda r: stages.append(r.count()))
     rows = {r.topic_id: r for r in got.collect()}
     assert [rows[t].source for t in range(4)] == ["llm", "llm_retry", "fallback", "fallback"]
-    assert stages == [1, 1, 2] and not asked
+    assert stages == [1, 1, 2]
     assert rows[1].business_name == "name for 1" and rows[3].business_name == "word3 app"
     assert rows[2].recommended_actions == list(X.FALLBACK_ACTIONS)
 
