@@ -66,10 +66,15 @@ def labels(spark, sf):
     return joined.select(F.col("doc_id").alias("row_id"), "lang", given.alias("topic_id"))
 
 
+def kept(spark, sf):
+    """row_id, original_comment, cleaned_text: cleaned once, whatever a query does with it later."""
+    rows = C.kept_rows(documents(spark, sf), "text", "doc_id")
+    return settled(rows.withColumnRenamed("original_row_index", "row_id"))
+
+
 def cleaned(spark, sf):
-    return C.clean_comments(documents(spark, sf), "text", "doc_id").withColumnRenamed(
-        "original_row_index", "row_id"
-    )
+    rows = kept(spark, sf).withColumnRenamed("row_id", "original_row_index")
+    return C.with_frequency(rows).withColumnRenamed("original_row_index", "row_id")
 
 
 def comments(spark, sf):
@@ -79,8 +84,7 @@ def comments(spark, sf):
 
 def topic_texts(spark, sf):
     """The comments without their frequency, for what does not need it."""
-    rows = C.kept_rows(documents(spark, sf), "text", "doc_id").withColumnRenamed("original_row_index", "row_id")
-    return rows.join(labels(spark, sf), "row_id")
+    return kept(spark, sf).join(labels(spark, sf), "row_id")
 
 
 def members(spark, sf):
@@ -96,12 +100,12 @@ def keywords(spark, sf):
     return KW.ctfidf(topic_texts(spark, sf), SETTINGS)
 
 
-def topics(spark, sf):
-    return settled(KW.topic_table(topic_texts(spark, sf), SETTINGS))
+def topics(spark, sf, words=None):
+    return settled(KW.topic_table(topic_texts(spark, sf), SETTINGS, words))
 
 
-def described(spark, sf):
-    return RP.described_topics(topics(spark, sf))
+def described(spark, sf, words=None):
+    return RP.described_topics(topics(spark, sf, words))
 
 
 # ---- sources and text rules ---------------------------------------------------------------------------
@@ -157,7 +161,9 @@ def clean_stats(source, key):
 
 
 def clean_frequency(spark, sf):
-    return cleaned(spark, sf).select("row_id", "cleaned_text", "frequency")
+    return C.clean_comments(documents(spark, sf), "text", "doc_id").select(
+        F.col("original_row_index").alias("row_id"), "cleaned_text", "frequency"
+    )
 
 
 def clean_comments_arabic(spark, sf):
@@ -303,11 +309,11 @@ def silhouette_cosine(spark, sf):
     return M.silhouette(members(spark, sf), SETTINGS).select(F.round("silhouette", 6).alias("silhouette"))
 
 
-def run_metrics(spark, sf):
+def run_metrics(spark, sf, words=None):
     return M.metrics_row(
         topic_texts(spark, sf),
         members(spark, sf),
-        settled(keywords(spark, sf)),
+        settled(keywords(spark, sf) if words is None else words),
         SETTINGS,
         engine="given",
         model="minilm",
@@ -381,9 +387,10 @@ def largest_topics(spark, sf):
 
 
 def overview(spark, sf):
+    words = settled(keywords(spark, sf))
     return RP.overview(
-        described(spark, sf),
-        run_metrics(spark, sf),
+        described(spark, sf, words),
+        run_metrics(spark, sf, words),
         C.cleaning_stats(documents(spark, sf), "text", "doc_id"),
         given_params(spark, sf),
     )
@@ -413,9 +420,10 @@ def chart(make):
 
 
 # ---- analysis per topic ---------------------------------------------------------------------------------------
-def payloads(spark, sf):
+def payloads(spark, sf, given=None):
     samples = R.packed_samples(R.representatives(members(spark, sf), SETTINGS, SETTINGS.samples_per_topic))
-    return settled(AN.topic_payloads(topics(spark, sf), comments(spark, sf), samples, SETTINGS))
+    found = topics(spark, sf) if given is None else given
+    return settled(AN.topic_payloads(found, comments(spark, sf), samples, SETTINGS))
 
 
 def topic_payload(spark, sf):
@@ -511,8 +519,8 @@ def flat_output(outputs):
     return outputs.withColumn("recommended_actions", F.array_join("recommended_actions", " | "))
 
 
-def staged_outputs(spark, sf):
-    asked = payloads(spark, sf)
+def staged_outputs(spark, sf, given=None):
+    asked = payloads(spark, sf, given)
     return AN.analysed(asked, AN.answers_from_table(topic_answers(asked)), SETTINGS)
 
 
@@ -529,8 +537,9 @@ def naming_resume(spark, sf):
 
 
 def named_topics(spark, sf):
-    attributes = AN.topic_attributes(staged_outputs(spark, sf))
-    return RP.described_topics(topics(spark, sf), attributes)
+    given = topics(spark, sf)
+    attributes = AN.topic_attributes(staged_outputs(spark, sf, given))
+    return RP.described_topics(given, attributes)
 
 
 def exec_prompt(spark, sf):
@@ -595,10 +604,11 @@ def checkpoint_roundtrip(spark, sf):
     """Topics saved and loaded by signature; another signature finds nothing."""
     folder = scratch_path(spark, "state")
     stats = C.cleaning_stats(documents(spark, sf), "text", "doc_id")
+    words = settled(keywords(spark, sf))
     tables = {
         "labels": topic_texts(spark, sf).select("row_id", "topic_id"),
-        "keywords": keywords(spark, sf),
-        "topics": topics(spark, sf),
+        "keywords": words,
+        "topics": topics(spark, sf, words),
         "params": given_params(spark, sf),
         "metrics": M.share_figures(topic_sizes(spark, sf)),
         "stats": stats,
@@ -622,12 +632,8 @@ def sink_roundtrip(spark, sf):
     )
 
 
-def cleaned_ids(spark, sf):
-    return C.kept_rows(documents(spark, sf), "text", "doc_id").withColumnRenamed("original_row_index", "row_id")
-
-
 def hashed_vectors(spark, sf):
-    rows = hashed_tfidf(cleaned_ids(spark, sf), SETTINGS)
+    rows = hashed_tfidf(kept(spark, sf), SETTINGS)
     return rows.select("row_id", F.size("vec").alias("width"), F.round(norm(F.col("vec")), 4).alias("length"))
 
 
@@ -646,7 +652,7 @@ def kmeans_topics(spark, sf):
 
 
 def discovery(spark, sf):
-    rows = cleaned_ids(spark, sf).select("row_id", "cleaned_text")
+    rows = kept(spark, sf).select("row_id", "cleaned_text")
     vectors = settled(hashed_tfidf(rows, SETTINGS))
     return discover(rows, vectors, SETTINGS, "hashed")
 

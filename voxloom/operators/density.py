@@ -34,14 +34,15 @@ def cell_keys(points: DataFrame, settings: Settings) -> DataFrame:
     if _n_cells(points, exact) <= settings.max_cells:
         return points.withColumn("cell", exact)
     low, span = _bounds(points)
-    steps = range(1, FINEST + 1)
-    guesses = points.agg(
-        *[F.approx_count_distinct(_grid(low, span, s), 0.02).alias(f"s{s}") for s in steps]
-    ).first()
-    step = max([s for s in steps if guesses[f"s{s}"] <= settings.max_cells], default=1)
-    while step > 0 and _n_cells(points, _grid(low, span, step)) > settings.max_cells:
-        step -= 1
-    return points.withColumn("cell", _grid(low, span, step))
+    # halving the step never lowers the number of cells, so the finest affordable one can be bisected
+    fits, too_fine = 0, FINEST + 1
+    while too_fine - fits > 1:
+        step = (fits + too_fine) // 2
+        if _n_cells(points, _grid(low, span, step)) <= settings.max_cells:
+            fits = step
+        else:
+            too_fine = step
+    return points.withColumn("cell", _grid(low, span, fits))
 
 
 def _n_cells(points: DataFrame, key) -> int:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.feature import PCA, StandardScaler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +21,13 @@ def reduced(vectors: DataFrame, n: int, settings: Settings) -> DataFrame:
     rows = vectors.select("row_id", array_to_vector(F.col("vec").cast("array<double>")).alias("v"))
     width = vectors.select(F.size("vec")).first()[0]
     k = min(settings.pca_components, width, max(2, n - 1))
-    centred = StandardScaler(inputCol="v", outputCol="c", withMean=True, withStd=False).fit(rows).transform(rows)
-    model = PCA(k=k, inputCol="c", outputCol="p").fit(centred)
+    model = PCA(k=k, inputCol="v", outputCol="p").fit(rows)
     loadings = model.pc.toArray()
     signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(k)])
-    by_sign = F.array(*[F.lit(float(s)) for s in signs])
-    projected = model.transform(centred).select("row_id", vector_to_array("p").alias("p"))
-    return projected.select("row_id", F.zip_with("p", by_sign, lambda x, s: x * s).alias("vec"))
+    projected = model.transform(rows).select("row_id", "p")
+    # the model's own covariance is centred, its projection is not: take the mean off afterwards
+    center = projected.agg(Summarizer.mean(F.col("p")).alias("m")).first()["m"].toArray()
+    fixed = F.array(*[F.struct(F.lit(float(m)).alias("m"), F.lit(float(s)).alias("s")) for m, s in zip(center, signs)])
+    return projected.select(
+        "row_id", F.zip_with(vector_to_array("p"), fixed, lambda x, f: (x - f["m"]) * f["s"]).alias("vec")
+    )
