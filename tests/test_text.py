@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import text as T
 from voxloom.functions import tokens as K
-from voxloom.functions.stopwords import ARABIC, NEGATIONS, stop_words
+from voxloom.functions.stopwords import ARABIC, ENGLISH, NEGATIONS, stop_words
 from voxloom.operators import cleaning as C
 
 CLEANED = [
@@ -56,7 +56,8 @@ def test_bigrams_jump_over_stop_words_and_repeats_stay(spark):
 
 def test_stop_words():
     words = set(stop_words())
-    assert len(ARABIC) == 130 and not words & set(NEGATIONS)
+    assert len(ARABIC) == 130 and len(ENGLISH) == len(set(ENGLISH)) == 318 and not words & set(NEGATIONS)
+    assert {"a", "yourselves", "thick", "sincere", "hasnt"} <= words and not {"theirs", "does", "just", "ought"} & words
     assert {"the", "amoungst", "على", "مش"} <= words
     assert "الي" not in words and "الي" in stop_words(normalize=True)
 

@@ -2,38 +2,34 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
-from pyspark import SparkContext
-from pyspark.ml.feature import StopWordsRemover
-
 # Words that turn a sentence round and are therefore never stop words.
 NEGATIONS = (
     "لا ما مو مب ليس ليست لست بدون بلا لم لن "
     "no not never none nor without cannot"
 ).split()
 
-# English words the public scikit-learn list has on top of Spark's own default list.
-ENGLISH_EXTRA = (
-    "across afterwards almost alone along already also although always among amongst amoungst amount "
-    "another anyhow anyone anything anyway anywhere around back became become becomes becoming "
-    "beforehand behind beside besides beyond bill bottom call cant co con couldnt cry de describe "
-    "detail done due eg eight either eleven else elsewhere empty enough etc even ever every everyone "
-    "everything everywhere except fifteen fifty fill find fire first five former formerly forty found "
-    "four front full get give go hasnt hence hereafter hereby herein hereupon however hundred ie inc "
-    "indeed interest keep last latter latterly least less ltd made many may meanwhile might mill mine "
-    "moreover mostly move much must name namely neither never nevertheless next nine nobody none noone "
-    "nothing nowhere often one onto others otherwise part per perhaps please put rather re see seem "
-    "seemed seeming seems serious several show side since sincere six sixty somehow someone something "
-    "sometime sometimes somewhere still system take ten thence thereafter thereby therefore therein "
-    "thereupon thick thin third though three throughout thru thus together top toward towards twelve "
-    "twenty two un upon us via well whatever whence whenever whereafter whereas whereby wherein "
-    "whereupon wherever whether whither whoever whole whose within without yet"
+# The public scikit-learn list of 318 English stop words.
+ENGLISH = (
+    "a about above across after afterwards again against all almost alone along already also although always "
+    "am among amongst amoungst amount an and another any anyhow anyone anything anyway anywhere are around as "
+    "at back be became because become becomes becoming been before beforehand behind being below beside "
+    "besides between beyond bill both bottom but by call can cannot cant co con could couldnt cry de describe "
+    "detail do done down due during each eg eight either eleven else elsewhere empty enough etc even ever "
+    "every everyone everything everywhere except few fifteen fifty fill find fire first five for former "
+    "formerly forty found four from front full further get give go had has hasnt have he hence her here "
+    "hereafter hereby herein hereupon hers herself him himself his how however hundred i ie if in inc indeed "
+    "interest into is it its itself keep last latter latterly least less ltd made many may me meanwhile might "
+    "mill mine more moreover most mostly move much must my myself name namely neither never nevertheless next "
+    "nine no nobody none noone nor not nothing now nowhere of off often on once one only onto or other others "
+    "otherwise our ours ourselves out over own part per perhaps please put rather re same see seem seemed "
+    "seeming seems serious several she should show side since sincere six sixty so some somehow someone "
+    "something sometime sometimes somewhere still such system take ten than that the their them themselves "
+    "then thence there thereafter thereby therefore therein thereupon these they thick thin third this those "
+    "though three through throughout thru thus to together too top toward towards twelve twenty two un under "
+    "until up upon us very via was we well were what whatever when whence whenever where whereafter whereas "
+    "whereby wherein whereupon wherever whether which while whither who whoever whole whom whose why will "
+    "with within without would yet you your yours yourself yourselves"
 ).split()
-# Words of Spark's default list that the scikit-learn list does not have.
-ENGLISH_NOT_USED = "theirs having does did doing s t just don ought".split()
 
 # Arabic function words, then Gulf, Saudi and Egyptian fillers.
 ARABIC = (
@@ -47,16 +43,6 @@ ARABIC = (
 ).split()
 
 
-def _spark_english() -> list[str]:
-    if SparkContext._active_spark_context is not None:
-        return list(StopWordsRemover.loadDefaultStopWords("english"))
-    # No session yet (the SQL checks ask for the words before one exists): read the same resource.
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as resources:
-        listed = resources.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-    return [word.strip() for word in listed.splitlines() if word.strip()]
-
-
 def _unified(word: str) -> str:
     return word.translate(str.maketrans("أإآىة", "ااايه", "ـًٌٍَُِّْ"))
 
@@ -64,9 +50,7 @@ def _unified(word: str) -> str:
 def stop_words(normalize: bool = False) -> list[str]:
     """The effective list, sorted. ``normalize`` also brings the Arabic words into the form that
     cleaned text has; without it a few of them never match."""
-    english = {w for w in _spark_english() if "'" not in w} - set(ENGLISH_NOT_USED)
-    english |= set(ENGLISH_EXTRA)
     arabic = set(ARABIC) - set(NEGATIONS)
     if normalize:
         arabic |= {_unified(w) for w in arabic}
-    return sorted((english | arabic) - set(NEGATIONS))
+    return sorted((set(ENGLISH) | arabic) - set(NEGATIONS))
