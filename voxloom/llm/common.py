@@ -12,6 +12,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from voxloom.session import scratch_path
 
@@ -59,6 +61,29 @@ def batches(rows: Iterable[pa.RecordBatch], limit: int = 256) -> Iterator[pa.Rec
             yield batch.slice(at, limit)
 
 
+def with_text_column(
+    df: DataFrame, into: str, ddl: str, start: Callable[[], Callable[[pa.Array], list]], text: str = "text"
+) -> DataFrame:
+    """All rows and columns of ``df`` plus the column ``into``, computed from whole texts in the tasks.
+
+    ``start`` runs once per task and returns a function from an Arrow column of texts (null: empty) to
+    one Python value per text.
+    """
+    if into in df.columns:
+        raise ValueError(f"there is a column {into} already")
+    kind = T.StructType.fromDDL(f"made {ddl}")[0].dataType
+    schema = T.StructType([*df.schema.fields, T.StructField(into, kind)])
+    at, arrow = df.columns.index(text), to_arrow_type(kind)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = start()
+        for batch in batches(rows):
+            made = compute(pc.fill_null(batch.column(at).cast(pa.string()), ""))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, arrow)], [*batch.schema.names, into])
+
+    return df.mapInArrow(run, schema)
+
+
 class Words(dict):
     """Memo of the token ids of words, as little-endian bytes; emptied when ``most`` words are in it.
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxloom.llm.common import table
+from voxloom.llm.common import table, texts
+from voxloom.llm.decontamination import with_contamination
 from voxloom.llm.token_files import read_token_files, write_token_files
 from voxloom.session import scratch_path
 
@@ -16,7 +18,20 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = with_contamination(texts(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), "found")
+    return marked.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("found.items")), 256).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op5_token_files": op5_token_files,
+    "op6_decontamination": op6_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
