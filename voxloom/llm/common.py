@@ -84,8 +84,15 @@ def with_text_column(
     return df.mapInArrow(run, schema)
 
 
+# The visible character that stands for each byte in a byte-level vocabulary: itself, where it is visible.
+VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+BYTE_SYMBOLS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in VISIBLE)}
+
+
 class Words(dict):
-    """Memo of the token ids of words, as little-endian bytes; emptied when ``most`` words are in it.
+    """Memo of the token ids of words, as little-endian bytes, in two generations of ``most`` words.
+
+    When the younger one is full it becomes the older one; words that still occur move back up.
 
     A word of letters with marks behind it is always cut between the two by the tokenizers used here,
     so only its letters are encoded anew.
@@ -95,20 +102,23 @@ class Words(dict):
 
     def __init__(self, tokenizer, before: str, most: int):
         super().__init__()
-        self.tokenizer, self.before, self.most = tokenizer, before, most
+        self.tokenizer, self.before, self.most, self.older = tokenizer, before, most, {}
         self.lowers = tokenizer.normalizer is not None
         self.model, self.space = tokenizer.model, "\u0120" if before else ""
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
         core = word.rstrip(self.MARKS)
-        if core.isalpha():
+        if (ids := self.older.get(word)) is not None:
+            pass
+        elif core.isalpha():
             if len(core) < len(word):
                 ids = self[core] + self.encoded(word[len(core) :])
-            elif word.isascii():  # one run of plain letters: a single piece for the model
-                piece = self.space + (word.lower() if self.lowers else word)
-                ids = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+            elif max(word) < "\u0100":  # one run of plain letters: a single piece for the model
+                piece = (word.lower() if self.lowers else word).encode().decode("latin-1").translate(BYTE_SYMBOLS)
+                ids = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(self.space + piece))
             else:
                 ids = self.encoded(self.before + word)
         else:
@@ -131,7 +141,7 @@ class WordEncoder:
     CUT = re.compile(r"(?<=\S) (?=\S)")
     SPACES = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
 
-    def __init__(self, path: str, space: bool, most: int = 800_000):
+    def __init__(self, path: str, space: bool, most: int = 600_000):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)

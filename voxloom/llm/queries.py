@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.common import table, texts
 from voxloom.llm.decontamination import with_contamination
+from voxloom.llm.packing import packed
 from voxloom.llm.token_files import read_token_files, write_token_files
 from voxloom.session import scratch_path
 
@@ -30,8 +31,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packed(table(spark, sf_dir, "documents"), path, with_ids=False)
+
+
 QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,
+    "op7_packing": op7_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
