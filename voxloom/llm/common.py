@@ -84,79 +84,116 @@ def with_text_column(
     return df.mapInArrow(run, schema)
 
 
-# The visible character that stands for each byte in a byte-level vocabulary: itself, where it is visible.
-VISIBLE = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-BYTE_SYMBOLS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in VISIBLE)}
-
-
-class Words(dict):
-    """Memo of the token ids of words, as little-endian bytes, in two generations of ``most`` words.
-
-    When the younger one is full it becomes the older one; words that still occur move back up.
-
-    A word of letters with marks behind it is always cut between the two by the tokenizers used here,
-    so only its letters are encoded anew.
-    """
-
-    MARKS = ".,!?;:*$%&#)"
-
-    def __init__(self, tokenizer, before: str, most: int):
-        super().__init__()
-        self.tokenizer, self.before, self.most, self.older = tokenizer, before, most, {}
-        self.lowers = tokenizer.normalizer is not None
-        self.model, self.space = tokenizer.model, "\u0120" if before else ""
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
-            self.older = dict(self)
-            self.clear()
-        core = word.rstrip(self.MARKS)
-        if (ids := self.older.get(word)) is not None:
-            pass
-        elif core.isalpha():
-            if len(core) < len(word):
-                ids = self[core] + self.encoded(word[len(core) :])
-            elif max(word) < "\u0100":  # one run of plain letters: a single piece for the model
-                piece = (word.lower() if self.lowers else word).encode().decode("latin-1").translate(BYTE_SYMBOLS)
-                ids = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(self.space + piece))
-            else:
-                ids = self.encoded(self.before + word)
-        else:
-            ids = self.encoded(self.before + word)
-        self[word] = ids
-        return ids
-
-    def encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+class Pieces:
+    """Token ids of pieces of text, end to end, gathered in any order."""
+
+    def __init__(self):
+        self.ids: list[np.ndarray] = []
+        self.lengths: list[np.ndarray] = []
+        self.n = 0
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """The number of the first piece added."""
+        self.ids.append(ids)
+        self.lengths.append(lengths)
+        self.n += len(lengths)
+        return self.n - len(lengths)
+
+    def gather(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces in this order, and how many ids lie before each piece and the end."""
+        ids, lengths = np.concatenate(self.ids), np.concatenate(self.lengths)
+        starts = np.cumsum(lengths) - lengths
+        taken = lengths[order]
+        before = np.concatenate([[0], np.cumsum(taken)])
+        places = np.repeat(starts[order] - before[:-1], taken) + np.arange(before[-1])
+        return ids[places], before
 
 
 class WordEncoder:
-    """Token ids of whole texts by the tokenizers library, a frequent word encoded only once.
+    """Token ids of whole texts by the tokenizers library, each distinct word of a batch encoded once.
 
     A text is cut only where the tokenizer itself always cuts, so the ids of the pieces in a row are the
     ids of the text: at any space where white space is dropped (``space`` false); else, as the space
-    then belongs to the word after it, at single spaces between visible characters.
+    then belongs to the word after it, at single spaces between visible characters. Letters are cut
+    from the marks behind them, so that they are encoded once for all marks; all new words of letters
+    are encoded together, as one text of words.
     """
 
-    CUT = re.compile(r"(?<=\S) (?=\S)")
     SPACES = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
+    LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+$"
+    MARKS = ".,!?;:*$%&#)"
 
-    def __init__(self, path: str, space: bool, most: int = 600_000):
+    def __init__(self, path: str, space: bool, batch_bytes: int = 16 << 20):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.space = space
-        self.words = Words(tokenizer, " " if space else "", most)
-        self.first = Words(tokenizer, "", most // 10) if space else self.words
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.space, self.batch_bytes = space, batch_bytes
 
     def column(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of an Arrow string column without nulls."""
-        runs = pc.match_substring_regex(texts, self.SPACES).to_pylist() if self.space else [False] * len(texts)
-        for text, has_runs in zip(texts.to_pylist(), runs):
-            head, *rest = self.CUT.split(text) if has_runs else text.split(" ")
-            first = self.first[head] if head else b""
-            yield np.frombuffer(first + b"".join(map(self.words.__getitem__, rest)), "<u4")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            done = sizes[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(sizes, done + self.batch_bytes, "right")))
+            yield from self._some(texts.slice(at, stop - at))
+            at = stop
+
+    def _some(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        pieces = Pieces()
+        lists = pc.split_pattern(texts, " ")
+        ends = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+        heads = np.concatenate([[0], ends[:-1]])
+        words = lists.flatten().dictionary_encode()
+        order = self._words(words.dictionary, pieces)[words.indices.to_numpy()]
+        if self.space:  # the first word of a text has no space before it
+            order[heads, 0] = self._plain(words.dictionary.take(words.indices.take(pa.array(heads))).to_pylist(), pieces)
+            order[heads, 1] = pieces.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        ids, before = pieces.gather(order.ravel())
+        bounds = before[np.concatenate([[0], ends]) * 2]
+        apart = pc.match_substring_regex(texts, self.SPACES).to_numpy(zero_copy_only=False) if self.space else None
+        for k in range(len(texts)):
+            if self.space and apart[k]:
+                yield np.array(self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids, np.uint32)
+            else:
+                yield ids[bounds[k] : bounds[k + 1]]
+
+    def _plain(self, words: list[str], pieces: Pieces) -> np.ndarray:
+        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        ids = np.fromiter((i for f in found for i in f), np.uint32)
+        first = pieces.add(ids, np.array([len(f) for f in found], np.int64))
+        return first + np.arange(len(words))
+
+    def _words(self, words: pa.Array, pieces: Pieces) -> np.ndarray:
+        """For each word the numbers of two pieces: it and nothing, or its letters and its marks."""
+        before = " " if self.space else ""
+        nothing = pieces.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        out = np.full((len(words), 2), nothing)
+        cores = pc.utf8_rtrim(words, self.MARKS)
+        plain = pc.match_substring_regex(cores, self.LETTERS).to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(~plain)
+        out[other, 0] = self._plain([before + w for w in words.take(pa.array(other)).to_pylist()], pieces)
+        letters = np.flatnonzero(plain)
+        marked = np.flatnonzero(plain & pc.less(pc.binary_length(cores), pc.binary_length(words)).to_numpy(zero_copy_only=False))
+        cores = cores.take(pa.array(letters)).dictionary_encode()
+        out[letters, 0] = self._together(cores.dictionary.to_pylist(), pieces)[cores.indices.to_numpy()]
+        marks = pc.replace_substring_regex(words.take(pa.array(marked)), r"^[^.,!?;:*$%&#)]+", "").dictionary_encode()
+        out[marked, 1] = self._plain(marks.dictionary.to_pylist(), pieces)[marks.indices.to_numpy()]
+        return out
+
+    def _together(self, words: list[str], pieces: Pieces) -> np.ndarray:
+        """Words of Latin letters only: each is one piece of the text they make."""
+        lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            found = self.tokenizer.encode((" " if self.space else "") + " ".join(some), add_special_tokens=False)
+            lengths.append(np.bincount(np.array(found.word_ids, np.int64)))
+            ids.append(np.array(found.ids, np.uint32))
+            if len(lengths[-1]) != len(some):
+                raise ValueError("the tokenizer cuts inside a word of letters")
+        first = pieces.add(np.concatenate(ids), np.concatenate(lengths))
+        return first + np.arange(len(words))
 
 
 def encoder(path: str, space: bool) -> WordEncoder:

@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import table, texts
+from voxloom.llm.common import held_out, table, texts
 from voxloom.llm.decontamination import with_contamination
 from voxloom.llm.packing import packed
 from voxloom.llm.token_files import read_token_files, write_token_files
+from voxloom.llm.toxicity import with_toxicity
 from voxloom.session import scratch_path
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~held_out())
+    scored = with_toxicity(texts(table(spark, sf_dir, "documents")), labels, "score")
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -37,6 +45,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
