@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.common import held_out, table, texts
 from voxloom.llm.decontamination import with_contamination
+from voxloom.llm.language import train, with_language
 from voxloom.llm.packing import packed
 from voxloom.llm.token_files import read_token_files, write_token_files
 from voxloom.llm.toxicity import with_toxicity
@@ -44,10 +45,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), path, with_ids=False)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = train(texts(docs, "lang").where(~held_out()))
+    found = with_language(texts(docs), network, "found")
+    return found.select(
+        "doc_id", held_out().alias("held_out"), F.col("found.lang").alias("lang_pred"), F.col("found.score")
+    )
+
+
 QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
+    "op8_language": op8_language,
 }
 ORACLE_SQL: dict[str, str] = {}
