@@ -10,6 +10,7 @@ from voxloom.llm.common import held_out, table, texts
 from voxloom.llm.decontamination import with_contamination
 from voxloom.llm.language import train, with_language
 from voxloom.llm.packing import packed
+from voxloom.llm.secrets import KINDS, with_secrets
 from voxloom.llm.token_files import read_token_files, write_token_files
 from voxloom.llm.toxicity import with_toxicity
 from voxloom.session import scratch_path
@@ -54,11 +55,36 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_secrets(texts(table(spark, sf_dir, "documents")), "found")
+    base, every = F.col("found.base"), F.concat("found.base", "found.novel")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    # KINDS are listed in the order assign, access, hex, novel.
+    order = lambda s: F.array_position(F.array(*map(F.lit, KINDS)), s["kind"])
+    shown = lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])
+    joined = lambda spans: F.array_join(
+        F.transform(
+            F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], order(s), shown(s).alias("shown")))),
+            lambda s: s["shown"],
+        ),
+        ",",
+    )
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(every).alias("spans"),
+    )
+
+
 QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
+    "op9_secrets": op9_secrets,
 }
 ORACLE_SQL: dict[str, str] = {}
