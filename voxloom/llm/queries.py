@@ -13,9 +13,18 @@ from voxloom.llm.packing import packed
 from voxloom.llm.secrets import KINDS, with_secrets
 from voxloom.llm.token_files import read_token_files, write_token_files
 from voxloom.llm.toxicity import with_toxicity
+from voxloom.llm.url_filters import judged
 from voxloom.session import scratch_path
 
 
+# The rules of the query: the end of a host, a slash and the beginning of a path.
+RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"), RULES)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~held_out())
     scored = with_toxicity(texts(table(spark, sf_dir, "documents")), labels, "score")
@@ -80,6 +89,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,
