@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.common import held_out, table, texts
 from voxloom.llm.decontamination import with_contamination
+from voxloom.llm.jaccard_join import jaccard_components
 from voxloom.llm.language import train, with_language
 from voxloom.llm.packing import packed
 from voxloom.llm.secrets import KINDS, with_secrets
@@ -88,6 +89,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op4_toxicity": op4_toxicity,
@@ -96,5 +101,6 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE_SQL: dict[str, str] = {}
