@@ -146,7 +146,8 @@ def frequencies(chunks: DataFrame) -> np.ndarray:
 
     parts = (chunks.agg(F.max("part")).first()[0] or 0) + 1
     while parts:
-        chunks = chunks.groupBy("chunk", F.floor(F.col("part") / FAN).cast("int").alias("part")).applyInArrow(add, chunks.schema)
+        chunks = chunks.withColumn("part", F.floor(F.col("part") / FAN).cast("int"))
+        chunks = chunks.groupBy("chunk", "part").applyInArrow(add, chunks.schema)
         parts = 0 if parts <= FAN else -(-parts // FAN)
     found = chunks.toArrow()  # as many rows as there are chunks, whatever the input
     counts = np.zeros((1 << (BITS - CHUNK), 1 << CHUNK))
@@ -218,7 +219,7 @@ def wanted_bits(ids: DataFrame) -> np.ndarray:
     """A bitmap of fixed size that has the bit of every id; other ids may share one."""
     bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
     words = ids.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).alias("word"))
-    found = words.agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("bit") % 64).cast("int"))).alias("bits")).toArrow()
+    found = words.agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int))) AS bits")).toArrow()
     bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
     return bitmap
