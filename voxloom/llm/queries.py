@@ -12,6 +12,7 @@ from voxloom.llm.jaccard_join import jaccard_components
 from voxloom.llm.language import train, with_language
 from voxloom.llm.packing import packed
 from voxloom.llm.secrets import KINDS, with_secrets
+from voxloom.llm.suffix_dedup import deduplicated
 from voxloom.llm.token_files import read_token_files, write_token_files
 from voxloom.llm.toxicity import with_toxicity
 from voxloom.llm.url_filters import judged
@@ -26,6 +27,10 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "pages"), RULES)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~held_out())
     scored = with_toxicity(texts(table(spark, sf_dir, "documents")), labels, "score")
@@ -95,6 +100,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,
