@@ -31,7 +31,7 @@ def test_penalty_takes_the_weight_off_identity_terms():
 
 
 def test_twins_swap_every_term():
-    assert twins({"a", "jewish"}, GROUPS) == [{"a", "muslim"}, {"a", "christian"}] and twins({"a"}, GROUPS) == []
+    assert twins(words("a jewish"), GROUPS) == [words("a muslim"), words("a christian")] and twins({"a"}, GROUPS) == []
 
 
 def test_held_out_accuracy(spark):

@@ -16,6 +16,7 @@ from voxloom.llm.suffix_dedup import deduplicated
 from voxloom.llm.token_files import read_token_files, write_token_files
 from voxloom.llm.toxicity import with_toxicity
 from voxloom.llm.url_filters import judged
+from voxloom.llm.vantage_tree import nearest
 from voxloom.session import scratch_path
 
 
@@ -31,6 +32,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicated(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op3_vantage_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, factor=1.1)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~held_out())
     scored = with_toxicity(texts(table(spark, sf_dir, "documents")), labels, "score")
@@ -101,6 +106,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_vantage_tree": op3_vantage_tree,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_decontamination": op6_decontamination,

@@ -58,10 +58,15 @@ def twins(found: set[str], groups: Sequence[Sequence[str]]) -> list[set[str]]:
     out = []
     for group in groups:
         for term in found.intersection(group):
-            out += [(found - {term}) | {other} for other in group if other != term]
+            out += [(found - words(term)) | words(other) for other in group if other != term]
     return out
 
 
+def traces(groups: Sequence[Sequence[str]]) -> set[str]:
+    """All that identity terms leave in a text's words."""
+    return {w for group in groups for term in group for w in words(term)}
+
+
 def associated(counts: Counter, toxic: Counter, rows: int, toxic_rows: int) -> dict[str, float]:
     """How far a word's share of toxic texts is from theirs overall, as a chi-squared value."""
     base = toxic_rows / rows if rows else 0.0
@@ -91,7 +96,7 @@ def fit(
 ) -> tuple[dict[str, float], float]:
     """Weights of words and bias; the counterfactual term is the mean squared change of the score."""
     counts = Counter(w for s in sets for w in s)
-    terms = {t for group in groups for t in group}
+    terms = traces(groups)
     chi2 = associated(counts, Counter(w for s, y in zip(sets, labels) if y for w in s), len(sets), sum(labels))
     kept = sorted((w for w in chi2 if chi2[w] >= min_chi2), key=lambda w: (-chi2[w], w))[:vocabulary]
     kept += [t for t in terms if t in counts]
@@ -117,6 +122,26 @@ def fit(
     return {w: float(weights[i]) for w, i in number.items() if weights[i]}, float(bias)
 
 
+def telling(
+    column: pa.ChunkedArray, labels: list[int], groups: Sequence[Sequence[str]], min_chi2: float
+) -> tuple[list[set[str]], list[int]]:
+    """The sampled texts' words without those that tell nothing, which are nearly all of them."""
+    lists = column.combine_chunks()
+    words = lists.flatten().dictionary_encode()
+    codes, ends = words.indices.to_numpy(), lists.offsets.to_numpy()
+    rows = np.repeat(np.arange(len(lists)), np.diff(ends))
+    n = np.bincount(codes, minlength=len(words.dictionary))
+    toxic = np.bincount(codes, np.array(labels, float)[rows], len(n)) if len(codes) else n
+    names = words.dictionary.to_pylist()
+    terms = traces(groups)
+    chi2 = associated(Counter(dict(enumerate(n))), Counter(dict(enumerate(toxic))), len(lists), sum(labels))
+    kept = np.array([chi2[k] >= min_chi2 or name in terms for k, name in enumerate(names)], bool)
+    sets: list[set[str]] = [set() for _ in labels]
+    for row, code in zip(rows[kept[codes]].tolist(), codes[kept[codes]].tolist()) if len(codes) else ():
+        sets[row].add(names[code])
+    return sets, labels
+
+
 def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     """words, toxic of at most ``sample_rows`` labelled documents."""
     toxic = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).dropna()
@@ -134,11 +159,13 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
 
 
 def with_toxicity(
-    docs: DataFrame, labels: DataFrame, into: str = "toxicity", *, sample_rows: int = 8000, **options
-) -> DataFrame:
+    docs: DataFrame, labels: DataFrame, into: str = "toxicity", *, sample_rows: int = 8000,
+    groups: Sequence[Sequence[str]] = IDENTITY_TERMS, min_chi2: float = 15.0, **options,
+) -> DataFrame:
     """``docs`` plus the score 0 to 1 of each whole text; ``labels`` are those to learn from."""
     rows = sample(docs, labels, sample_rows).toArrow()  # bounded by sample_rows
-    weights, bias = fit([set(w) for w in rows["words"].to_pylist()], rows["toxic"].to_pylist(), **options)
+    sets, labels_of = telling(rows["words"], rows["toxic"].to_pylist(), groups, min_chi2)
+    weights, bias = fit(sets, labels_of, groups=groups, min_chi2=min_chi2, **options)
     sent = docs.sparkSession.sparkContext.broadcast((weights, bias))  # bounded by vocabulary
 
     def start():
