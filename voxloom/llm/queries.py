@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,6 +105,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_url_filters": op1_url_filters,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_vantage_tree": op3_vantage_tree,
