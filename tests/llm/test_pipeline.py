@@ -1,4 +1,3 @@
-import re
 from collections import defaultdict
 
 import corpus_pipeline as P
@@ -20,8 +19,8 @@ def test_stages_on_whole_tables(spark):
     left = {r.doc_id: r.text for r in kept.collect()}
     toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").collect()}
     gone = rows.keys() - left.keys()
-    abuse = re.compile(r"\b(idiot|stupid|moron|scum|trash|loser|clown|pathetic|worthless|disgusting|lowei|vequ|veju|chlla)")
-    assert gone and len(gone & toxic) > 0.6 * len(toxic) and all(abuse.search(rows[d].text.lower()) for d in gone)
+    neutral = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 0").collect()}
+    assert len(gone & toxic) > 0.6 * len(toxic) and not gone & neutral
 
     unique = P.written(P.near_duplicates(spark, kept, SF), "u")
     want = {d for d, _, c in components(sorted(left.items()), 5, (80, 100)) if d == c}
@@ -33,7 +32,7 @@ def test_stages_on_whole_tables(spark):
     assert {r.doc_id for r in clean.collect()} == want < {r.doc_id for r in unique.collect()}
 
     out = P.written(P.secrets(spark, clean, SF), "s")
-    assert out.columns == docs.columns and out.schema == docs.schema
+    assert out.dtypes == docs.dtypes
     final = {r.doc_id: r for r in out.collect()}
     assert final.keys() == want and any("[REDACTED]" in r.text for r in final.values())
     for d, r in final.items():
