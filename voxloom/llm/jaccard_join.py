@@ -275,9 +275,10 @@ def jaccard_components(docs: DataFrame, *, size: int = 3, share: tuple[int, int]
     live = first.join(shared, "token").distinct().join(classes, ["sig", "n"]).select("token", "id", "n", "place")
     live = written(live, "jaccard-live")
 
-    # One of each group, by length band, is compared with the others; two choices, by the token.
+    # One of each group, by length band, is compared with the others: one with few rarer shingles before the
+    # shared one, so a text from which the others were made rather than one with changes of its own.
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(share[1] / share[0]))).alias("band")
-    choice = F.xxhash64("id", F.col("token").bitwiseAND(F.lit(1)))
+    choice = F.struct("place", F.xxhash64("id", F.col("token").bitwiseAND(F.lit(1))))
     banded = live.select("*", band)
     leads = banded.groupBy("token", "band").agg(F.min_by(F.struct("id", "n", "place"), choice).alias("lead"))
     leads = leads.select("token", "band", "lead.*")
