@@ -38,14 +38,20 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """The rows as a Parquet table in the shared folder: a plan ends here and is never run twice."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing will read again."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def worker_memo(key: str, make: Callable[[], object]) -> object:
     """One object per Python worker, made on first use and kept for the worker's later tasks."""
     memo = sys.modules.setdefault(WORKER, types.ModuleType(WORKER))
@@ -99,6 +105,10 @@ class Pieces:
         self.n += len(lengths)
         return self.n - len(lengths)
 
+    def pack(self) -> None:
+        self.ids = [np.concatenate(self.ids)] if self.ids else []
+        self.lengths = [np.concatenate(self.lengths)] if self.lengths else []
+
     def gather(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces in this order, and how many ids lie before each piece and the end."""
         ids, lengths = np.concatenate(self.ids), np.concatenate(self.lengths)
@@ -115,23 +125,27 @@ class WordEncoder:
     A text is cut only where the tokenizer itself always cuts, so the ids of the pieces in a row are the
     ids of the text: at any space where white space is dropped (``space`` false); else, as the space
     then belongs to the word after it, at single spaces between visible characters. Letters are cut
-    from the marks behind them, so that they are encoded once for all marks; all new words of letters
-    are encoded together, as one text of words.
+    from the marks behind them, so that they are encoded once for all marks; new words of letters are
+    encoded together, as one text of words, and remembered. The memo is emptied at ``most`` words.
     """
 
     SPACES = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
     LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+$"
     MARKS = ".,!?;:*$%&#)"
 
-    def __init__(self, path: str, space: bool, batch_bytes: int = 16 << 20):
+    def __init__(self, path: str, space: bool, batch_bytes: int = 16 << 20, most: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.space, self.batch_bytes = space, batch_bytes
+        self.space, self.batch_bytes, self.most = space, batch_bytes, most
+        self.known: dict[str, int] = {}  # words of letters and their pieces in the memo
+        self.memo = Pieces()
 
     def column(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of an Arrow string column without nulls."""
+        if not self.space:  # such a vocabulary is also one of lower-case words
+            texts = pc.ascii_lower(texts)
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         at = 0
         while at < len(texts):
@@ -183,8 +197,25 @@ class WordEncoder:
         return out
 
     def _together(self, words: list[str], pieces: Pieces) -> np.ndarray:
-        """Words of Latin letters only: each is one piece of the text they make."""
-        lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        """Words of Latin letters only, from the memo of earlier batches where it has them."""
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > self.most:
+            known.clear()
+            self.memo, new = Pieces(), words
+        if new:
+            ids, lengths = self._encoded(new)
+            first = self.memo.add(ids, lengths)
+            known.update(zip(new, range(first, first + len(new))))
+        self.memo.pack()
+        first = pieces.n
+        for ids, lengths in zip(self.memo.ids, self.memo.lengths):
+            pieces.add(ids, lengths)
+        return first + np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Each of the words is one piece of the text they make."""
+        lengths, ids = [], []
         for at in range(0, len(words), 1000):
             some = words[at : at + 1000]
             found = self.tokenizer.encode((" " if self.space else "") + " ".join(some), add_special_tokens=False)
@@ -192,8 +223,7 @@ class WordEncoder:
             ids.append(np.array(found.ids, np.uint32))
             if len(lengths[-1]) != len(some):
                 raise ValueError("the tokenizer cuts inside a word of letters")
-        first = pieces.add(np.concatenate(ids), np.concatenate(lengths))
-        return first + np.arange(len(words))
+        return np.concatenate(ids), np.concatenate(lengths)
 
 
 def encoder(path: str, space: bool) -> WordEncoder:

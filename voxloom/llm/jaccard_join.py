@@ -33,9 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import batches, texts, written
+from voxloom.llm.common import batches, discard, texts, written
 from voxloom.llm.components import components
-from voxloom.session import cut_lineage
+from voxloom.session import cut_lineage, scratch_path
 
 BITS = 20  # of the counter table
 CHUNK = 14  # bits of the counters in one row
@@ -225,6 +225,22 @@ def wanted_bits(ids: DataFrame) -> np.ndarray:
     return bitmap
 
 
+def perhaps(rows: DataFrame, wanted: DataFrame, id_col: str) -> DataFrame:
+    """The rows whose id may be wanted, by a bitmap of fixed size: what a join drops is not shuffled."""
+    sent = rows.sparkSession.sparkContext.broadcast(wanted_bits(wanted.select(F.col(id_col).alias("id"))))
+    names = rows.columns
+
+    def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = sent.value.view(np.uint64)
+        for batch in parts:
+            bit = batch.column(len(names)).to_numpy()
+            held = (bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+            yield batch.select(names).filter(pa.array(held))
+
+    bit = F.pmod(F.xxhash64(id_col), F.lit(1 << FILTER_BITS)).alias("_bit")
+    return rows.select("*", bit).mapInArrow(keep, rows.schema)
+
+
 def verified(docs: DataFrame, pairs: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
     """Those of the pairs a, b whose sets are similar enough."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
@@ -269,11 +285,13 @@ def jaccard_components(docs: DataFrame, *, size: int = 3, share: tuple[int, int]
     docs = texts(docs)
     rows, levels = profiles(docs, size)
     classes = rows.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("id")).where("id is not null")
-    first = written(index(docs, size, share, levels), "jaccard-index")
+    path = scratch_path(docs.sparkSession, "jaccard-index")
+    first = written(index(docs, size, share, levels), "", path)
     shared = first.groupBy("token").agg(F.min("sig").alias("least"), F.max("sig").alias("most"))
-    shared = shared.where("least != most").select("token")
-    live = first.join(shared, "token").distinct().join(classes, ["sig", "n"]).select("token", "id", "n", "place")
+    shared = written(shared.where("least != most").select("token"), "jaccard-shared")
+    live = perhaps(first, shared, "token").join(shared, "token").distinct().join(classes, ["sig", "n"]).select("token", "id", "n", "place")
     live = written(live, "jaccard-live")
+    discard(docs.sparkSession, path)
 
     # One of each group, by length band, is compared with the others: one with few rarer shingles before the
     # shared one, so a text from which the others were made rather than one with changes of its own.

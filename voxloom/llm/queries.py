@@ -13,6 +13,7 @@ from voxloom.llm.jaccard_join import jaccard_components
 from voxloom.llm.language import train, with_language
 from voxloom.llm.packing import packed
 from voxloom.llm.secrets import KINDS, with_secrets
+from voxloom.llm.sql import ORACLE_SQL  # noqa: F401  read by the entry point
 from voxloom.llm.suffix_dedup import deduplicated
 from voxloom.llm.token_files import read_token_files, write_token_files
 from voxloom.llm.toxicity import with_toxicity
@@ -117,4 +118,3 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -38,8 +38,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import batches, texts, written
-from voxloom.llm.jaccard_join import BASE, FILTER_BITS, mixed, powers, slices, wanted_bits
+from voxloom.llm.common import batches, discard, texts, written
+from voxloom.llm.jaccard_join import BASE, FILTER_BITS, mixed, perhaps, powers, slices, wanted_bits
+from voxloom.session import scratch_path
 
 ANCHORS = "name long, around long, key long, first int, last int"
 
@@ -175,13 +176,16 @@ def full_names(texts_of: DataFrame, threshold: int) -> DataFrame:
 
 def repeated(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     """Keys of texts that occur more than once; key, first, last of repeated windows in other texts."""
-    rows = written(anchors(docs, threshold), "suffix-anchors")
+    path = scratch_path(docs.sparkSession, "suffix-anchors")
+    rows = written(anchors(docs, threshold), "", path)
     copied = rows.where("first = 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     copied = written(copied, "suffix-copied")
     names = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    names = written(names, "suffix-names")
     # Copies of a text are counted, not kept apart: a group of copies is one row for each position.
-    live = rows.join(names, "name").groupBy("name", "around", "key", "first", "last").agg(F.count(F.lit(1)).alias("n"))
+    live = perhaps(rows, names, "name").join(names, "name").groupBy("name", "around", "key", "first", "last").agg(F.count(F.lit(1)).alias("n"))
     live = written(live, "suffix-live")
+    discard(docs.sparkSession, path)
     kinds = live.groupBy("name", "around").agg(F.sum("n").alias("n"), F.min(F.struct("key", "first", "last")).alias("one"))
     kinds = written(kinds, "suffix-kinds")
     again = live.join(kinds.where("n > 1").select("name", "around"), ["name", "around"]).select("key", "first", "last")
