@@ -9,7 +9,7 @@ from voxloom.operators import metrics as M
 from voxloom.operators import representatives as R
 from voxloom.operators.arrays import centroids
 from voxloom.plans import reports as RP
-from voxloom.plans.run import run_all
+from voxloom.plans.run import prepare, run_all
 from voxloom.settings import Settings
 
 SF = "/root/testdata/sf0.001"
@@ -48,6 +48,37 @@ def test_run_from_table_and_again(spark, tmp_path):
     assert {r.row_id: r.topic_id for r in again.comments.collect()} == labels
 
 
+def test_saved_state_follows_what_decides_it(spark, tmp_path):
+    table, folder = comment_table(spark), str(tmp_path)
+    first = prepare(table, folder, Settings(hash_dims=64), row_col="id")
+    wide = prepare(table, folder, Settings(hash_dims=32), row_col="id")
+    widths = [r.members.select(F.size("vec")).distinct().collect() for r in (first, wide)]
+    assert [[w[0] for w in ws] for ws in widths] == [[64], [32]] and first.signature != wide.signature
+    same = prepare(table, folder, Settings(hash_dims=64, broadcast_bytes=1, validation_samples=1), row_col="id")
+    assert same.signature == first.signature
+    prepare(table.where("id < 200"), folder, Settings(hash_dims=64), row_col="id")
+    assert first.comments.count() == 240  # an earlier result outlives later runs
+
+
+def test_supplied_vectors(spark, tmp_path):
+    table = comment_table(spark)
+    vectors = table.where("id < 230").select(
+        F.col("id").alias("row_id"),
+        F.array(*[(F.col("id") % 3 == k).cast("double") * 5 + F.rand(k) * 0.1 for k in range(3)]).alias("vec"),
+    ).cache()
+    run = prepare(table, str(tmp_path), Settings(), row_col="id", vectors=vectors)
+    lengths = run.members.select(F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x), 4)).distinct().collect()
+    assert run.members.count() == 230 and [r[0] for r in lengths] == [1.0]
+
+
+def test_more_than_64_keywords(spark):
+    rows = [(i, 0, " ".join(f"kw{k:02d}" for k in range(70) if (k + i) % 2)) for i in range(6)]
+    texts = spark.createDataFrame([(i, t, s) for i, t, s in rows], "row_id long, topic_id int, cleaned_text string")
+    words = spark.createDataFrame([(0, k + 1, f"kw{k:02d}") for k in range(70)], "topic_id int, rank int, term string")
+    got = {(r.rank_i, r.rank_j): r.npmi for r in M.npmi_pairs(texts, words, Settings(top_keywords=70)).collect()}
+    assert len(got) == 70 * 69 // 2 and got[(1, 70)] == -1 and got[(1, 69)] == pytest.approx(1.0)
+
+
 def given(spark):
     rows = [(0, 0, "good fast app"), (1, 0, "fast app again"), (2, 1, "late late parcel"), (3, 1, "parcel again late"),
             (4, -1, "fast parcel again"), (5, 2, "zzz yyy xxx")]

@@ -53,10 +53,10 @@ def topic_balance(sizes: DataFrame) -> DataFrame:
 
 
 def keyword_sets(comments: DataFrame, keywords: DataFrame, settings: Settings) -> DataFrame:
-    """topic_id, ranks (bit set of keyword ranks), docs: comments that hold exactly these keywords.
+    """topic_id, ranks (rising keyword ranks), docs: comments that hold exactly these keywords.
 
     Tokens keep their stop words here. A comment adds one row per topic it shares a keyword with, never
-    a pair; all co-occurrences follow from the at most 2^top_keywords bit sets per topic.
+    a pair; all co-occurrences follow from the sets of ranks found in each topic.
     """
     held = comments.select("row_id", F.explode(F.array(K.tokens(F.col("cleaned_text")))).alias("t"))
     grams = held.select(
@@ -64,13 +64,13 @@ def keyword_sets(comments: DataFrame, keywords: DataFrame, settings: Settings) -
     )
     # a term may be a keyword of several topics: collect them, so that the lookup key is unique
     wanted = keywords.groupBy("term").agg(
-        F.collect_list(F.struct("topic_id", F.expr("shiftleft(1L, rank - 1)").alias("bit"))).alias("uses")
+        F.collect_list(F.struct("topic_id", "rank")).alias("uses")
     )
     hits = attach(grams, wanted, "term", spread_by="row_id", settings=settings, how="inner")
     return (
         hits.select("row_id", F.inline("uses"))
         .groupBy("row_id", "topic_id")
-        .agg(F.bit_or("bit").alias("ranks"))
+        .agg(F.array_sort(F.collect_set("rank")).alias("ranks"))  # no more than a topic has keywords
         .groupBy("topic_id", "ranks")
         .agg(F.count("*").alias("docs"))
     )
@@ -78,10 +78,8 @@ def keyword_sets(comments: DataFrame, keywords: DataFrame, settings: Settings) -
 
 def document_frequency(sets: DataFrame, settings: Settings) -> DataFrame:
     """topic_id, rank, doc_freq for keywords found in at least one comment."""
-    all_ranks = F.sequence(F.lit(1), F.lit(settings.top_keywords))
-    present = F.filter(all_ranks, lambda r: F.getbit("ranks", r - 1) == 1)
     return (
-        sets.select("topic_id", "docs", F.explode(present).alias("rank"))
+        sets.select("topic_id", "docs", F.explode("ranks").alias("rank"))
         .groupBy("topic_id", "rank")
         .agg(F.sum("docs").alias("doc_freq"))
     )
@@ -96,7 +94,7 @@ def npmi_pairs(
     left = freq.select("topic_id", F.col("rank").alias("rank_i"), F.col("doc_freq").alias("df_i"))
     right = freq.select("topic_id", F.col("rank").alias("rank_j"), F.col("doc_freq").alias("df_j"))
     pairs = left.join(right, "topic_id").filter("rank_i < rank_j")
-    both = (F.getbit("ranks", F.col("rank_i") - 1) == 1) & (F.getbit("ranks", F.col("rank_j") - 1) == 1)
+    both = F.array_contains("ranks", F.col("rank_i")) & F.array_contains("ranks", F.col("rank_j"))
     together = (
         pairs.join(sets, "topic_id")
         .groupBy("topic_id", "rank_i", "rank_j", "df_i", "df_j")

@@ -92,10 +92,10 @@ def answers_from_table(table: DataFrame) -> Answerer:
     return answer
 
 
-def answers_from_model(chat: Callable[[list[str]], list[str | None]], tasks: int = 8) -> Answerer:
+def answers_from_model(chat: Callable[[list[str]], list[str | None]], tasks: int | None = None) -> Answerer:
     """Answers from a function of a list of prompts, called inside the tasks.
 
-    One prompt per topic, spread over ``tasks``; a failing call counts as no answer.
+    One prompt per topic, spread over ``tasks`` (as many as the session has slots); a failing call counts as no answer.
     """
 
     def answer(prompts: DataFrame) -> DataFrame:
@@ -111,7 +111,8 @@ def answers_from_model(chat: Callable[[list[str]], list[str | None]], tasks: int
                     {"topic_id": batch["topic_id"], "attempt": batch["attempt"], "answer": replies}
                 )
 
-        return prompts.repartition(tasks, "topic_id").mapInPandas(
+        slots = tasks or prompts.sparkSession.sparkContext.defaultParallelism
+        return prompts.repartition(slots, "topic_id").mapInPandas(
             call, "topic_id int, attempt int, answer string"
         )
 

@@ -14,11 +14,19 @@ from voxloom.operators import representatives as reps
 from voxloom.operators.lookup import settled
 from voxloom.plans import analysis, reports
 from voxloom.plans.discovery import discover
-from voxloom.settings import Settings
+from voxloom.settings import Settings, uses_query_prefix
 from voxloom.sources import sinks, state
 from voxloom.sources.comments import load_comments, pick_comment_column, spread
 
 
+# The settings that decide topics, keywords and measures; others do not make saved topics stale.
+DECIDING = (
+    "auto_params", "pca_components", "neighbors", "min_topic_size", "min_samples", "kmeans_min_n",
+    "kmeans_noise", "seed", "kmeans_restarts", "density_levels", "max_cells", "min_df", "ngram_max",
+    "top_keywords", "normalize_stopwords",
+)
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Everything up to and including the topics; what both entry points share."""
@@ -40,27 +48,41 @@ def prepare(
     *,
     row_col: str,
     encode: Callable[[list[str]], np.ndarray] | None = None,
+    vectors: DataFrame | None = None,
 ) -> Prepared:
-    """Clean, attach vectors and find topics; vectors and topics of unchanged data are read back."""
+    """Clean, attach vectors and find topics; cleaned texts, vectors and topics of unchanged data are read back.
+
+    vectors: row_id, vec made elsewhere; comments without one are left out.
+    """
     spark = source.sparkSession
     column = pick_comment_column(source, settings.comment_column)
     stats = settled(cleaning.cleaning_stats(source, column, row_col, settings.min_words))
     cleaning.require_rows(stats)
-    clean_path = f"{folder}/clean"
-    cleaning.clean_comments(source, column, row_col, settings.min_words).withColumnRenamed(
-        "original_row_index", "row_id"
-    ).write.mode("overwrite").parquet(clean_path)
-    clean = spark.read.parquet(clean_path)
-    text_sig = state.signature(clean, "row_id", "cleaned_text")
+    made = cleaning.clean_comments(source, column, row_col, settings.min_words)
+    made = made.withColumnRenamed("original_row_index", "row_id")
+    # A folder of its own for each content: a later run never changes what an earlier one still reads.
+    source_sig = state.signature(source, row_col, column, context=str(settings.min_words))
+    clean = state.kept(made, f"{folder}/clean/sig={source_sig}")
+    if vectors is not None:
+        model, decides = "supplied", state.signature(vectors.select("row_id", F.col("vec").cast("string").alias("v")), "row_id", "v")
+        clean = clean.join(vectors.select("row_id"), "row_id", "left_semi")
+    elif encode is not None:
+        model = settings.embedding
+        decides = f"{uses_query_prefix(settings)} {encode.__module__}.{getattr(encode, '__qualname__', type(encode).__qualname__)}"
+    else:
+        model, decides = "hashed", str(settings.hash_dims)
 
     def make(comments: DataFrame) -> DataFrame:
+        if vectors is not None:
+            return embedding.supplied_vectors(comments, vectors)
         if encode is None:
             return embedding.hashed_tfidf(comments, settings)
         return embedding.encoded(comments, encode, settings)
 
-    model = "hashed" if encode is None else settings.embedding
+    text_sig = state.signature(clean, "row_id", "cleaned_text", context=decides)
     vectors = state.cached_vectors(clean, make, folder, model, text_sig)
-    sig = state.signature(clean, "row_id", "cleaned_text", context=f"{model} {settings}")
+    chosen = {name: getattr(settings, name) for name in DECIDING}
+    sig = state.signature(clean, "row_id", "cleaned_text", context=f"{model} {decides} {chosen}")
     saved = state.load_result(spark, folder, sig)
     if saved is None:
         found = discover(clean.select("row_id", "cleaned_text"), vectors, settings, model)
@@ -158,23 +180,28 @@ def run_all(
     spark: SparkSession | None = None,
     row_col: str | None = None,
     encode: Callable[[list[str]], np.ndarray] | None = None,
+    vectors: DataFrame | None = None,
+    multi_line: bool = True,
     answer: analysis.Answerer | None = None,
     chat: Callable[[list[str]], list[str]] | None = None,
     file_format: str = "parquet",
 ) -> Prepared:
     """source: a table with ``row_col``, or a CSV path whose rows get their position as id.
 
+    ``encode`` makes vectors, ``vectors`` (row_id, vec) are taken as they are; else they are hashed
+    TF-IDF. ``multi_line`` off lets Spark split large CSV files that have no quoted line breaks.
+
     All results up to the topics are on disk before the first model call. Without ``answer`` and
     ``chat`` topics keep their automatic names.
     """
     if isinstance(source, str):
         row_col = "_row"
         session = spark or SparkSession.getActiveSession()
-        source = spread(load_comments(session, source, row_col=row_col, settings=settings))
+        source = spread(load_comments(session, source, row_col=row_col, multi_line=multi_line, settings=settings))
     elif row_col is None:
         raise ValueError("A table needs row_col, the name of its unique id column.")
     session = source.sparkSession
-    run = prepare(source, folder, settings, row_col=row_col, encode=encode)
+    run = prepare(source, folder, settings, row_col=row_col, encode=encode, vectors=vectors)
     candidates = ranked_candidates(run, settings)
     sinks.write_tables(report_tables(run, settings, candidates), f"{folder}/reports", file_format)
     sinks.write_json(model_inputs(run, settings, candidates), f"{folder}/reports/model_inputs")

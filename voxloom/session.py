@@ -24,7 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary folder is made and set.
+    Only a local session that names none gets a temporary folder; on a cluster executors could not see it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -33,6 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0]
+    if not context.master.startswith("local"):
+        raise ValueError("Set spark.checkpoint.dir to a folder that driver and executors share.")
     folder = tempfile.mkdtemp(prefix="voxloom-")
     context.setCheckpointDir(folder)
     return folder

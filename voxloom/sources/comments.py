@@ -58,12 +58,15 @@ def load_comments(
     if not bad:
         parts = [_read_csv(spark, path, schema, multi_line, "UTF-8")]
     else:
-        # Spark refuses charsets outside its short list unless told to follow the JVM
+        # Spark refuses charsets outside its short list unless told to follow the JVM. It looks again when
+        # the rows are read, after this function, so the session keeps the setting.
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
         named = {_plain(f) for f in bad}
         good = [f for f in files if _plain(f) not in named]
         parts = [_read_csv(spark, good, schema, multi_line, "UTF-8")] if good else []
         parts.append(_read_csv(spark, bad, schema, multi_line, LEGACY_ARABIC))
+        if set(parts[0].columns) != set(parts[-1].columns):
+            raise ValueError(f"These files have other columns than the rest: {', '.join(bad)}")
     columns = parts[0].columns
     tracked = [p.select(*[_known(p, c) for c in columns], F.col("_metadata").alias("_file")) for p in parts]
     rows = tracked[0]

@@ -39,6 +39,15 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def kept(rows: DataFrame, path: str) -> DataFrame:
+    """The rows as a table at ``path``: read when a finished copy is there, else written first."""
+    spark, done = rows.sparkSession, f"{path}/done"
+    if _read(spark, done) is None:
+        rows.write.mode("overwrite").parquet(f"{path}/rows")
+        spark.createDataFrame([(True,)], "done boolean").coalesce(1).write.mode("overwrite").parquet(done)
+    return spark.read.parquet(f"{path}/rows")
+
+
 def cached_vectors(
     comments: DataFrame, make: Callable[[DataFrame], DataFrame], folder: str, model: str, sig: str
 ) -> DataFrame:
