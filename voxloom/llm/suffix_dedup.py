@@ -198,7 +198,8 @@ def repeated(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     data = data.groupBy("key").agg(F.min("data").alias("data"))
     full = written(full_names(data.join(ones, "key"), threshold), "suffix-full")
     twice = full.groupBy("name", "full").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "full")
-    edge = full.join(twice, ["name", "full"]).select("key", F.col("start").alias("first"), F.col("start").alias("last"))
+    twice = written(twice, "suffix-twice")
+    edge = perhaps(full, twice, "full").join(twice, ["name", "full"]).select("key", F.col("start").alias("first"), F.col("start").alias("last"))
     return copied, again.unionByName(edge).join(copied, "key", "left_anti").distinct()
 
 
