@@ -348,6 +348,10 @@ attributed AS (SELECT t.topic_id, t.topic_size, t.kws, o.* EXCLUDE (topic_id),
         "unit_vectors": """SELECT vec_id, 1.0::DOUBLE AS length,
   round(v[1] / sqrt(list_dot_product(v, v)), 6) AS first_value
   FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)""",
+        "supplied_members": COMMENTS
+        + """, held AS (SELECT vec_id AS row_id, embedding::DOUBLE[] AS v FROM embeddings)
+SELECT row_id, (p - 1)::INTEGER AS place, round(v[p] / sqrt(list_dot_product(v, v)), 6) AS value
+FROM comments JOIN held USING (row_id), unnest(range(1, len(v) + 1)) AS t(p)""",
         "topic_centroids": VECTORS
         + " SELECT topic_id, n, (p - 1)::INTEGER AS position, round(v, 6) AS value FROM means JOIN cent USING (topic_id)",
         "centroid_similarity": VECTORS + " SELECT row_id, topic_id, round(sim, 6) AS sim FROM simmed",

@@ -23,7 +23,7 @@ from voxloom.operators import metrics as M
 from voxloom.operators import quality as Q
 from voxloom.operators import representatives as R
 from voxloom.operators.arrays import centroids, norm, unit
-from voxloom.operators.embedding import hashed_tfidf
+from voxloom.operators.embedding import hashed_tfidf, supplied_vectors
 from voxloom.operators.kmeans import kmeans_labels
 from voxloom.operators.lookup import settled
 from voxloom.operators.reduction import reduced
@@ -92,6 +92,14 @@ def members(spark, sf):
     return topic_texts(spark, sf).join(vectors, "row_id")
 
 
+def supplied_members(spark, sf):
+    vectors = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("row_id"), F.transform("embedding", lambda x: x.cast("double") * 3).alias("vec")
+    )
+    rows = supplied_vectors(topic_texts(spark, sf), vectors)
+    return rows.select("row_id", F.posexplode("vec").alias("place", "value")).withColumn("value", F.round("value", 6))
+
+
 def counts(spark, sf):
     return KW.topic_term_counts(topic_texts(spark, sf), SETTINGS)
 
@@ -699,6 +707,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auto_names": auto_names,
     "display_names": display_names,
     "unit_vectors": unit_vectors,
+    "supplied_members": supplied_members,
     "topic_centroids": topic_centroids,
     "centroid_similarity": centroid_similarity,
     "nearest_topic": nearest_topic,

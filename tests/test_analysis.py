@@ -11,6 +11,7 @@ from voxloom.functions import params as P
 from voxloom.operators.lookup import attach
 from voxloom.plans import analysis as AN
 from voxloom.settings import Settings
+from voxloom.sources import state
 
 SETTINGS = Settings()
 GOOD = {
@@ -104,6 +105,27 @@ def test_resume_asks_only_what_is_open(spark):
     assert rows == {0: "stored", 1: "llm", 2: "llm", 3: "llm"} and sorted(seen) == [1, 2, 3]
 
 
+def test_a_crash_loses_one_batch_at_most(spark, tmp_path):
+    rows = payloads(spark)
+    table = rows.select("topic_id", F.lit(0).alias("attempt"), F.lit(text()).alias("answer"))
+    calls, settings = [], Settings(analysis_batch=2)
+
+    def answer(prompts, dies_at):
+        calls.append(sorted(r.topic_id for r in prompts.collect()))
+        if len(calls) == dies_at:
+            raise RuntimeError("the machine went away")
+        return AN.answers_from_table(table)(prompts)
+
+    keep = lambda out: state.append_outputs(out, str(tmp_path), "s")
+    with pytest.raises(RuntimeError, match="went away"):
+        AN.analysed_in_batches(rows, None, lambda p: answer(p, 3), settings, keep)
+    done = state.finished_outputs(spark, str(tmp_path), "s")
+    assert {r.topic_id for r in done.collect()} == {0, 1}
+    AN.analysed_in_batches(rows, done.cache(), lambda p: answer(p, 0), settings, keep)
+    outputs = state.finished_outputs(spark, str(tmp_path), "s").collect()
+    assert sorted(r.topic_id for r in outputs) == [0, 1, 2, 3] and not any(0 in c or 1 in c for c in calls[3:])
+
+
 def test_retry_prompt(spark):
     df = spark.createDataFrame([("p", ["e1", "e2"])], "p string, e array<string>")
     got = df.select(AN.retry_prompt(F.col("p"), F.col("e"))).first()[0]

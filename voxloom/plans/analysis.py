@@ -190,6 +190,26 @@ def resumed(payloads: DataFrame, done: DataFrame, answer: Answerer, settings: Se
     return done.unionByName(analysed(remaining, answer, settings, **stages))
 
 
+def analysed_in_batches(
+    payloads: DataFrame,
+    done: DataFrame | None,
+    answer: Answerer,
+    settings: Settings,
+    keep: Callable[[DataFrame], None],
+) -> None:
+    """Analyse the topics that are not ``done`` a few at a time; ``keep`` gets what is finished at once.
+
+    A run that breaks off loses the answers of one batch at most.
+    """
+    if done is not None:
+        payloads = payloads.join(done.select("topic_id"), "topic_id", "left_anti")
+    payloads = settled(payloads)
+    ids = sorted(r.topic_id for r in payloads.select("topic_id").collect())  # one number per topic
+    for at in range(0, max(len(ids), 1), settings.analysis_batch):
+        some = payloads.filter(F.col("topic_id").isin(ids[at : at + settings.analysis_batch]))
+        analysed(some, answer, settings, on_stage=keep)
+
+
 def topic_attributes(outputs: DataFrame) -> DataFrame:
     """topic_id and the seven attributes the reports join, actions flattened."""
     return outputs.select(

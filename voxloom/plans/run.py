@@ -165,10 +165,7 @@ def analyse_run(
     def keep(rows: DataFrame) -> None:
         state.append_outputs(rows, folder, run.signature)
 
-    if done is None:
-        analysis.analysed(payloads, answer, settings, on_stage=keep)
-    else:
-        analysis.resumed(payloads, settled(done), answer, settings, on_stage=keep)
+    analysis.analysed_in_batches(payloads, None if done is None else settled(done), answer, settings, keep)
     return state.finished_outputs(spark, folder, run.signature)
 
 

@@ -42,6 +42,7 @@ class Settings:
     analysis_model: str = "Qwen3-4B-Q4_K_M.gguf"
     samples_per_topic: int = 8
     max_retries: int = 1
+    analysis_batch: int = 16  # topics whose answers are saved together
 
     # quality
     similar_threshold: float = 0.90
