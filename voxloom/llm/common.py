@@ -144,8 +144,8 @@ class WordEncoder:
 
     def column(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of an Arrow string column without nulls."""
-        if not self.space:  # such a vocabulary is also one of lower-case words
-            texts = pc.ascii_lower(texts)
+        if not self.space:  # such a vocabulary is also one of lower-case words, and a line end is a space
+            texts = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         at = 0
         while at < len(texts):
