@@ -86,6 +86,7 @@ def with_text_column(
         for batch in batches(rows):
             made = compute(pc.fill_null(batch.column(at).cast(pa.string()), ""))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, arrow)], [*batch.schema.names, into])
+        pa.default_memory_pool().release_unused()  # the worker lives on, for other tasks
 
     return df.mapInArrow(run, schema)
 

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -95,16 +96,17 @@ class Shingles:
         return np.unique(total)
 
 
-def slices(rows: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def slices(rows: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Arrow rows with about ``most`` bytes of texts (second column) at a time."""
     for batch in batches(rows, 512):
-        sizes = np.cumsum([len(t) for t in batch.column(1).to_pylist()])
+        sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < batch.num_rows:
             done = sizes[at - 1] if at else 0
             stop = max(at + 1, int(np.searchsorted(sizes, done + most, "right")))
             yield batch.slice(at, stop - at)
             at = stop
+    pa.default_memory_pool().release_unused()  # the worker lives on, for other tasks
 
 
 def profiles(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
@@ -115,7 +117,8 @@ def profiles(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
         names = ["doc_id", "n", "sig", "chunk", "part", "counts"]
         for batch in slices(rows):
             sets = list(shingles.sets(batch.column(1).to_pylist()))
-            counts += np.bincount(np.concatenate(sets) >> np.uint64(64 - BITS), minlength=1 << BITS)
+            place, more = np.unique(np.concatenate(sets) >> np.uint64(64 - BITS), return_counts=True)
+            counts[place] += more
             sig = [int(mixed(s ^ np.uint64(BASE)).sum(dtype=np.uint64).view(np.int64)) for s in sets]
             none = [None] * len(sets)
             yield pa.RecordBatch.from_arrays(
