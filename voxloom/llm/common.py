@@ -157,16 +157,17 @@ class WordEncoder:
 
     def _some(self, texts: pa.Array) -> Iterator[np.ndarray]:
         pieces = Pieces()
-        lists = pc.split_pattern(texts, " ")
+        # A single line end also is a cut: it stands alone, and the word after it has no space.
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n") if self.space else texts, " ")
         ends = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
         heads = np.concatenate([[0], ends[:-1]])
         words = lists.flatten().dictionary_encode()
         order = self._words(words.dictionary, pieces)[words.indices.to_numpy()]
         if self.space:  # the first word of a text has no space before it
             order[heads, 0] = self._plain(words.dictionary.take(words.indices.take(pa.array(heads))).to_pylist(), pieces)
-            order[heads, 1] = pieces.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
+            order[heads, 1:] = pieces.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
         ids, before = pieces.gather(order.ravel())
-        bounds = before[np.concatenate([[0], ends]) * 2]
+        bounds = before[np.concatenate([[0], ends]) * order.shape[1]]
         apart = pc.match_substring_regex(texts, self.SPACES).to_numpy(zero_copy_only=False) if self.space else None
         for k in range(len(texts)):
             if self.space and apart[k]:
@@ -181,9 +182,22 @@ class WordEncoder:
         return first + np.arange(len(words))
 
     def _words(self, words: pa.Array, pieces: Pieces) -> np.ndarray:
-        """For each word the numbers of two pieces: it and nothing, or its letters and its marks."""
-        before = " " if self.space else ""
+        """For each word the numbers of three pieces: letters, marks and a line end before them, or the
+        whole word; what is missing is an empty piece."""
         nothing = pieces.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        out = np.full((len(words), 3), nothing)
+        lines = pc.starts_with(words, "\n").to_numpy(zero_copy_only=False) & self.space
+        if lines.any():
+            at = np.flatnonzero(lines)
+            after = pc.utf8_slice_codeunits(words.take(pa.array(at)), 1).dictionary_encode()
+            out[at, 0] = self._plain(["\n"], pieces)
+            out[at, 1:] = self._parts(after.dictionary, pieces, "", nothing)[after.indices.to_numpy()]
+        at = np.flatnonzero(~lines)
+        out[at, :2] = self._parts(words.take(pa.array(at)), pieces, " " if self.space else "", nothing)
+        return out
+
+    def _parts(self, words: pa.Array, pieces: Pieces, before: str, nothing: int) -> np.ndarray:
+        """Letters and marks, or the whole word and nothing."""
         out = np.full((len(words), 2), nothing)
         cores = pc.utf8_rtrim(words, self.MARKS)
         plain = pc.match_substring_regex(cores, self.LETTERS).to_numpy(zero_copy_only=False)
@@ -192,13 +206,15 @@ class WordEncoder:
         letters = np.flatnonzero(plain)
         marked = np.flatnonzero(plain & pc.less(pc.binary_length(cores), pc.binary_length(words)).to_numpy(zero_copy_only=False))
         cores = cores.take(pa.array(letters)).dictionary_encode()
-        out[letters, 0] = self._together(cores.dictionary.to_pylist(), pieces)[cores.indices.to_numpy()]
+        out[letters, 0] = self._together(cores.dictionary.to_pylist(), pieces, before)[cores.indices.to_numpy()]
         marks = pc.replace_substring_regex(words.take(pa.array(marked)), r"^[^.,!?;:*$%&#)]+", "").dictionary_encode()
         out[marked, 1] = self._plain(marks.dictionary.to_pylist(), pieces)[marks.indices.to_numpy()]
         return out
 
-    def _together(self, words: list[str], pieces: Pieces) -> np.ndarray:
+    def _together(self, words: list[str], pieces: Pieces, before: str) -> np.ndarray:
         """Words of Latin letters only, from the memo of earlier batches where it has them."""
+        if self.space and not before:  # few: the first words of lines
+            return self._plain(words, pieces)
         known = self.known
         new = [w for w in words if w not in known]
         if len(known) + len(new) > self.most:
