@@ -4,7 +4,7 @@ import re
 import string
 
 from voxloom.llm.queries import op9_secrets
-from voxloom.llm.secrets import Novelty, base_spans, identifier_dictionary, redacted, with_secrets
+from voxloom.llm.secrets import Novelty, base_spans, identifier_dictionary, novel_spans, redacted, with_secrets
 
 SF = "/root/testdata/sf0.01"
 PATTERNS = (
@@ -65,3 +65,27 @@ def test_novel_spans_redaction_and_odd_rows(spark):
     assert clean[3].text == texts[3] and clean[4].text == "é [REDACTED]; [REDACTED] z " * 300 and clean[0].kind == "x"
     assert with_secrets(docs.limit(0), "s").count() == 0
     assert identifier_dictionary(docs) == b"fetch_user_name_2_or_default_1"
+
+
+def test_key_repeated_nearby(spark):
+    measure = Novelty(b"")
+    alone = other_name = 0
+    for seed in range(60):
+        rng = random.Random(seed)
+        key = "".join(rng.choices(string.ascii_letters + string.digits, k=rng.randint(20, 64)))
+        key = key if any(c.isdigit() for c in key) else key[:-1] + "7"
+        words = " ".join(rng.choices(("retry", "request", "the", "log", "line", "sent", "again", "with"), k=rng.randint(12, 45)))
+        text = f"auth bearer {key} first {words} "
+        found = lambda t: [t[a:b] for _, a, b in novel_spans(t, base_spans(t), measure, 0.62, 48, 400)]
+        assert found(f"{text}auth bearer {key} end") == [key, key]
+        alone += found(text) == [key]
+        other_name += key in found(f"{text}Cookie: session={key} end")
+    assert alone > 50 and other_name > 50  # a key of about 20 characters, judged once, is at the limit
+    key = random_key(5)
+    line = f"header auth bearer {key} end"
+    docs = spark.createDataFrame([(0, f"{line}\n{line}"), (1, f"token = {key} and auth bearer {key}")], "id long, text string")
+    clean = [r.text for r in redacted(with_secrets(docs, "s"), "s").orderBy("id").collect()]
+    assert clean == ["header auth bearer [REDACTED] end\nheader auth bearer [REDACTED] end", "[REDACTED] and auth bearer [REDACTED]"]
+    name = "get_customer_order_total_by_id_2"
+    text = f"auth {name} and auth {name}"
+    assert novel_spans(text, [], Novelty(name.encode()), 0.62, 48, 400) == []

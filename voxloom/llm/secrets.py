@@ -4,7 +4,9 @@ Patterns (kinds ``assign``, ``access``, ``hex``) are matched as they are. Beyond
 key characters that holds letters and digits and has a sensitive word shortly before it is a candidate.
 Its novelty is the number of bytes by which it makes its surroundings longer, compressed by zstandard
 with a dictionary of identifiers primed: identifiers, words and repetitions cost little, random strings
-cost nearly what they hold. Candidates of at least ``novelty`` bytes a character are reported (``novel``).
+cost nearly what they hold. Other copies of a candidate, or of a part of it that looks like a key itself,
+are first taken out of its surroundings. Candidates of at least ``novelty`` bytes a character are reported
+(``novel``), and with one of them every equal string of key characters in the text.
 
 The identifier dictionary is made of the identifiers in most documents of the whole corpus, counted by
 Spark; its size is bounded by ``dictionary_bytes``, as a compressor looks back only so far.
@@ -16,6 +18,7 @@ without identifiers the dictionary is empty; other columns are kept as they are.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 import zstandard
@@ -36,6 +39,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that are long enough
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 SENSITIVE = re.compile(r"key|secret|token|auth|bearer|credential|passw|pwd|private|signature|cookie|session", re.I | re.A)
+COPY = 16  # characters with letters and digits that surroundings and candidate share are a copy of a key
 # Names in code, made of words: a random string hardly ever looks like that, even if it is repeated.
 IDENTIFIER = r"\b([A-Za-z]{2,}(?:_(?:[A-Za-z]+|[0-9]{1,3}))+|[a-z]{2,}(?:[A-Z][a-z]{2,})+)\b"
 
@@ -76,18 +80,47 @@ class Novelty:
 def novel_spans(
     text: str, base: list[tuple[str, int, int]], measure: Novelty, novelty: float, near: int, around: int
 ) -> list[tuple[str, int, int]]:
-    spans = []
+    places = defaultdict(list)
     for m in RUN.finditer(text):
         start, stop = m.span()
         run = m[0]
         if run.isalpha() or not any(c.isdigit() for c in run) or any(a < stop and start < b for _, a, b in base):
             continue
-        if not SENSITIVE.search(text, max(0, start - near), start):
-            continue
-        surroundings = text[max(0, start - around) : start] + " " + text[stop : stop + around] + " "
-        if measure(surroundings, run) >= novelty:
-            spans.append(("novel", start, stop))
-    return spans
+        places[run].append((start, stop))
+    spans = []
+    for run, found in places.items():
+        if any(
+            SENSITIVE.search(text, max(0, start - near), start)
+            and measure(surroundings(text, start, stop, around), run) >= novelty
+            for start, stop in found
+        ):
+            spans += [("novel", start, stop) for start, stop in found]
+    return in_order(spans)
+
+
+def surroundings(text: str, start: int, stop: int, around: int) -> str:
+    """What lies around a candidate, without copies of it: they would make it cost nothing."""
+    sides = text[max(0, start - around) : start], text[stop : stop + around]
+    run = text[start:stop]
+    parts = {run[k : k + COPY] for k in range(len(run) - COPY + 1)}
+    return "".join(without_copies(side, parts) + " " for side in sides)
+
+
+def without_copies(side: str, parts: set[str]) -> str:
+    kept, done, k = [], 0, 0
+    while k <= len(side) - COPY:
+        stop = k
+        while side[stop : stop + COPY] in parts:
+            stop += 1
+        if stop > k:
+            copy = side[k : stop + COPY - 1]
+            if any(c.isdigit() for c in copy) and any(c.isalpha() for c in copy):
+                kept.append(side[done:k])
+                done = stop + COPY - 1
+            k = stop + COPY - 1
+        else:
+            k += 1
+    return " ".join([*kept, side[done:]])
 
 
 def identifier_dictionary(docs: DataFrame, dictionary_bytes: int = 1 << 16, least_docs: int = 2) -> bytes:
