@@ -6,7 +6,8 @@ documents, extra ones included. Rows of any kind pass: null and empty texts are
 
 1. toxicity: documents that the counterfactual classifier scores 0.7 or more are dropped.
 2. near_duplicates: of each component of documents linked by a Jaccard similarity of 0.8 over five-word
-   shingles, the one with the smallest doc_id stays. Documents without words stay, as do rows without id.
+   shingles, the one with the smallest doc_id stays. Rows that share an id but not the text are different
+   documents. Documents without words stay, as do rows without id.
 3. decontamination: documents that hold a window of ten words of a benchmark item are dropped.
 4. secrets: spans that hold secrets are replaced by a mark in the text; n_chars follows the new text.
 5. packing: all ids of all texts that are left, in sequences of 4,096.
@@ -24,6 +25,7 @@ from voxloom.llm.jaccard_join import jaccard_components
 from voxloom.llm.packing import packed
 from voxloom.llm.secrets import redacted, with_secrets
 from voxloom.llm.toxicity import with_toxicity
+from voxloom.session import cut_lineage
 
 MADE = "_pipeline_made"  # no table has a column of this name
 
@@ -34,20 +36,26 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_components(docs, size=5, share=(80, 100))
-    # Only ids of documents that go are joined; a row that repeats a kept id goes by its rank.
-    gone = found.where("component_id != doc_id").select(F.col("doc_id").alias(MADE)).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col(MADE), "left_anti")
-    return once(kept, found)
+    # Ids may repeat with other texts, so that an id and its text make a document here; none without id.
+    own = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+    keyed = docs.withColumn(MADE, F.when(F.col("doc_id").isNotNull(), own))
+    found = jaccard_components(keyed.select(F.col(MADE).alias("doc_id"), "text"), size=5, share=(80, 100))
+    found = cut_lineage(found.where("doc_id is not null and n_shingles > 0").select(F.col("doc_id").alias(MADE), F.col("component_id").alias("of")))
+    others = found.where(F.col("of") != F.col(MADE))  # the first key of each component names it
+    members = others.unionByName(others.select(F.col("of").alias(MADE), "of")).distinct()
+    ids = keyed.where(F.col(MADE).isNotNull()).select(MADE, F.col("doc_id").cast("long").alias("id")).distinct()
+    placed = cut_lineage(members.join(ids, MADE))
+    stays = placed.groupBy("of").agg(F.min(F.struct("id", MADE)).alias("first")).select(f"first.{MADE}")
+    # Only keys of documents that go are joined; a row that repeats a kept one goes by its rank.
+    kept = keyed.join(placed.select(MADE).join(stays, MADE, "left_anti"), MADE, "left_anti")
+    return once(kept, found).select(docs.columns)
 
 
 def once(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Of rows that share an id only one stays; ids that occur once are not moved."""
-    twice = found.where("doc_id is not null AND n_shingles > 0").groupBy("doc_id").count().where("count > 1")
-    twice = twice.select(F.col("doc_id").alias(MADE))
-    key = F.col("doc_id").cast("long") == F.col(MADE)
-    single = docs.join(twice, key, "left_anti")
-    return single.unionByName(docs.join(twice, key, "left_semi").dropDuplicates(["doc_id"]))
+    """Of rows with the same id and text only one stays; those that occur once are not moved."""
+    twice = found.groupBy(MADE).count().where("count > 1").select(MADE)
+    single = docs.join(twice, MADE, "left_anti")
+    return single.unionByName(docs.join(twice, MADE, "left_semi").dropDuplicates([MADE]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

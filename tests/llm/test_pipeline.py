@@ -54,3 +54,20 @@ def test_run_and_odd_rows(spark, tmp_path):
         tokens[r.doc_id] += r.length
     assert tokens.keys() == {1, None, 3, 4} and tokens[None] == tokens[3] == 1
     assert np.all([len(r.ids) == 2 * r.length for r in rows])
+
+
+def test_ids_repeated_with_other_texts(spark):
+    text = lambda letter: " ".join(f"{letter}{i}" for i in range(40))
+    rows = [
+        (7, text("a")), (7, text("a")), (7, text("A")), (7, text("b")), (7, ""), (7, " "), (7, ""), (7, None),  # one of a, b, no words
+        (8, text("c")), (5, text("c") + " more"), (8, text("d")),  # only one text of 8 is linked with 5
+        (9, text("a") + " more"), (None, text("b")), (None, None), (3, text("e")), (3, text("e") + " more"),
+    ]
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id int, text string, lang string").repartition(5)
+    out = P.near_duplicates(spark, docs, "")
+    assert out.dtypes == docs.dtypes
+    got = sorted((r.doc_id or 0, (r.text or "").lower()) for r in out.collect())
+    at_3 = [t for d, t in got if d == 3]
+    assert len(at_3) == 1 and at_3[0].startswith(text("e"))
+    want = [(0, ""), (0, text("b")), (5, text("c") + " more"), (7, ""), (7, ""), (7, ""), (7, " "), (7, text("a")), (7, text("b")), (8, text("d"))]
+    assert [g for g in got if g[0] != 3] == sorted(want)
