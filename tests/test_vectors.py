@@ -240,6 +240,15 @@ def test_density_equals_brute_force(spark, seed):
     assert got == brute_density(x, 8, 4).tolist()
 
 
+def test_density_reads_all_levels(spark):
+    """The second largest gap alone says that the right group is one cluster: that level may not be left out."""
+    gaps = np.random.default_rng(5).uniform(0.8, 0.9, 1199)
+    gaps[399], gaps[799] = 100, 1
+    x = np.r_[0, gaps.cumsum()][:, None]
+    got = [r.topic_id for r in density_cluster(points(spark, x), 100, 1, SETTINGS).orderBy("row_id").collect()]
+    assert got == [0] * 400 + [1] * 800
+
+
 def test_density_counts_copies_as_weight(spark):
     x, _ = blobs()
     x = np.vstack([x, np.repeat(x[:1], 200, axis=0)])

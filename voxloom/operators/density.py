@@ -3,13 +3,13 @@
 Comments are first counted into cells: equal vectors share one, and beyond ``max_cells`` different
 vectors a grid, as fine as that bound allows, shares them out. So a text with a third of all copies is
 one cell with a large weight, and everything quadratic runs over at most ``max_cells`` weighted cells,
-spread over tasks. The hierarchy is read off at the spanning tree's own weights: at all of them as long
-as cells x levels stays within LEVEL_ROWS, else at evenly spaced ranks.
+spread over tasks. The hierarchy is read off at all of the spanning tree's own weights.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,6 @@ from voxloom.operators.lookup import settled
 from voxloom.session import cut_lineage
 from voxloom.settings import Settings
 
-LEVEL_ROWS = 500_000
 FINEST = 24  # 2^24 grid steps along the widest axis
 SLICE = 256  # cells compared with all others at a time inside a task
 
@@ -170,103 +169,96 @@ def spanning_tree(nodes: DataFrame, min_samples: int) -> pd.DataFrame:
 
 
 # ---- hierarchy -----------------------------------------------------------------------------------------
-def level_table(nodes: DataFrame, tree: pd.DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """(levels: level, density_step) and (members: level, node, comp), coarsest level 0.
-
-    A level holds the components of the edges up to one weight; ``density_step`` is how much density
-    (one over distance) grows from the level before it. Levels are independent, tasks share them out.
+@dataclass
+class Part:
+    """A component of the edges up to weight ``made``; ``kids`` are the components it was joined from."""
+
+    size: int
+    first: int
+    made: float
+    kids: list[int] = field(default_factory=list)
+
+
+def dendrogram(tree: pd.DataFrame, sizes: np.ndarray) -> list[Part]:
+    """All components, the cells first (by number) and the whole last; edges of one weight join at once."""
+    ordered = tree.sort_values("w", kind="stable")
+    finest = float(ordered["w"].iloc[0])
+    parts = [Part(int(size), node, finest) for node, size in enumerate(sizes)]
+    above, at = list(range(len(parts))), list(range(len(parts)))
+
+    def top(node: int) -> int:
+        while above[node] != node:
+            above[node] = above[above[node]]
+            node = above[node]
+        return node
+
+    for w, edges in ordered.groupby("w", sort=True):
+        joined: dict[int, list[int]] = {}
+        for a, b in zip(edges["a"].astype(int), edges["b"].astype(int)):
+            a, b = top(a), top(b)
+            one, two = (joined.pop(x, None) or [at[x]] for x in (a, b))
+            if len(one) < len(two):
+                a, b, one, two = b, a, two, one
+            above[b] = a
+            one.extend(two)
+            joined[a] = one
+        for root, kids in joined.items():
+            at[root] = len(parts)
+            parts.append(Part(sum(parts[k].size for k in kids), min(parts[k].first for k in kids), float(w), kids))
+    return parts
+
+
+def chosen_parts(parts: list[Part], n: int, min_cluster_size: int) -> list[int]:
+    """Clusters at least as stable as the best choice below them, the topmost of each branch; never the root.
+
+    Components below the minimum size fall out. A component that is the only large one of those it
+    splits into continues its cluster; where two or more remain, each starts one. A cluster's stability
+    sums up size times the growth of density (one over distance) while it lasts.
     """
-    spark = nodes.sparkSession
-    n = len(tree) + 1
-    weights = np.unique(tree["w"].to_numpy())[::-1]
-    n_levels = min(len(weights), max(settings.density_levels, LEVEL_ROWS // n))
-    weights = weights[np.unique(np.linspace(0, len(weights) - 1, n_levels).round().astype(int))]
-    steps = np.diff(1.0 / weights, prepend=0.0)
-    frame = pd.DataFrame({"level": np.arange(len(weights)), "limit": weights, "density_step": steps})
-    levels = spark.createDataFrame(frame, "level int, limit double, density_step double")
-    shared = spark.sparkContext.broadcast(
-        (tree["a"].to_numpy(int), tree["b"].to_numpy(int), tree["w"].to_numpy(float))
-    )
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b, w = shared.value
-        for batch in batches:
-            for level, limit in zip(batch["level"], batch["limit"]):
-                light = w <= limit
-                label = components(n, a[light], b[light])
-                yield pd.DataFrame({"level": level, "node": np.arange(n), "comp": label})
-
-    spread = levels.repartition(spark.sparkContext.defaultParallelism, "level")
-    return levels, spread.mapInPandas(cut, "level int, node int, comp int")
-
-
-def cluster_tree(
-    nodes: DataFrame, levels: DataFrame, members: DataFrame, min_cluster_size: int
-) -> tuple[DataFrame, DataFrame]:
-    """(placed: node, level, born, head) and (clusters: born, head, parent_born, parent_head, stability).
-
-    Components below the minimum size fall out. A component that is the only large part of the one
-    above continues its cluster; where two or more remain, each starts one, named by the level it was
-    born at and its smallest node. Following one node through the levels, its cluster at any level is
-    the last one born so far.
-    """
-    large = (
-        members.join(F.broadcast(nodes.select("node", "weight")), "node")  # at most max_cells rows
-        .groupBy("level", "comp")
-        .agg(F.sum("weight").alias("size"))
-        .filter(F.col("size") >= min_cluster_size)
-    )
-    above = members.select((F.col("level") + 1).alias("level"), F.col("node").alias("comp"), F.col("comp").alias("up"))
-    siblings = Window.partitionBy("level", "up")
-    starts = (
-        large.join(above, ["level", "comp"], "left")
-        .withColumn("is_start", F.col("up").isNull() | (F.count("*").over(siblings) > 1))
-        .select("level", "comp", "size", "is_start")
-    )
-    along = Window.partitionBy("node").orderBy("level")
-    here = F.struct(F.col("level").alias("born"), F.col("comp").alias("head"))
-    placed = (
-        members.join(starts, ["level", "comp"])
-        .withColumn("c", F.last(F.when(F.col("is_start"), here), ignorenulls=True).over(along))
-        .select("node", "level", "comp", "size", "c.born", "c.head")
-    )
-    placed = cut_lineage(placed)
-    heads = placed.filter("node = comp").join(F.broadcast(levels), "level")  # one row per level
-    stability = heads.groupBy("born", "head").agg(F.sum(F.col("size") * F.col("density_step")).alias("stability"))
-    parents = placed.select(
-        (F.col("level") + 1).alias("born"),
-        F.col("node").alias("head"),
-        F.col("born").alias("parent_born"),
-        F.col("head").alias("parent_head"),
-    )
-    return placed, cut_lineage(stability.join(parents, ["born", "head"], "left"))
-
-
-def chosen_clusters(clusters: DataFrame) -> DataFrame:
-    """born, head of clusters at least as stable as the best choice below them; never the root.
-
-    The value of a cluster is the larger of its own stability and the sum of its children's values;
-    it settles after as many rounds as the tree is high.
-    """
-    key, up = ["born", "head"], ["parent_born", "parent_head"]
-    values = clusters.withColumn("value", F.col("stability")).withColumn("below", F.lit(0.0))
-    rounds = 3
-    while True:
-        before = values
-        for _ in range(rounds):
-            below = values.groupBy(*[F.col(u).alias(k) for u, k in zip(up, key)]).agg(
-                F.sum("value").alias("below")
-            )
-            values = (
-                clusters.join(below, key, "left")
-                .withColumn("below", F.coalesce("below", F.lit(0.0)))
-                .withColumn("value", F.greatest("stability", "below"))
-            )
-        values = cut_lineage(values)
-        old = before.select(*key, F.col("value").alias("old_value"), F.col("below").alias("old_below"))
-        moved = values.join(old, key).filter("value <> old_value or below <> old_below")
-        if moved.isEmpty():
-            return values.filter("parent_born is not null and stability >= below").select(*key)
+    finest = parts[0].made
+    if parts[-1].size < min_cluster_size:
+        return []
+    start, up, density, stability = [len(parts) - 1], [-1], [0.0], []
+    for c, part in enumerate(start):  # grows while it is read
+        reached = density[c]
+        total = 0.0
+        while True:
+            here = parts[part]
+            total += here.size * (1 / here.made - reached)
+            reached = 1 / here.made
+            # a cell that is joined at the smallest weight is never alone
+            large = [k for k in here.kids if parts[k].size >= min_cluster_size and (k >= n or here.made > finest)]
+            if len(large) != 1:
+                break
+            part = large[0]
+        stability.append(total)
+        start.extend(large)
+        up.extend([c] * len(large))
+        density.extend([reached] * len(large))
+    below = [0.0] * len(start)
+    for c in range(len(start) - 1, 0, -1):
+        below[up[c]] += max(stability[c], below[c])
+    covered, chosen = [False] * len(start), []
+    for c in range(1, len(start)):
+        covered[c] = covered[up[c]]
+        if not covered[c] and stability[c] >= below[c]:
+            covered[c] = True
+            chosen.append(start[c])
+    return sorted(chosen, key=lambda part: parts[part].first)
+
+
+def cell_topics(tree: pd.DataFrame, sizes: np.ndarray, min_cluster_size: int) -> np.ndarray:
+    """The topic of every cell, numbered by first cell, -1 is noise; all weights of the tree are levels."""
+    parts = dendrogram(tree, sizes)
+    topics = np.full(len(sizes), -1)
+    for number, part in enumerate(chosen_parts(parts, len(sizes), min_cluster_size)):
+        left = [part]
+        while left:
+            part = left.pop()
+            left.extend(parts[part].kids)
+            if part < len(sizes):
+                topics[part] = number
+    return topics
 
 
 def density_cluster(
@@ -283,16 +275,8 @@ def density_cluster(
     tree = spanning_tree(nodes, reach)
     if tree.empty:  # a single cell has no second cluster to stand out from
         return points.select("row_id", F.lit(-1).alias("topic_id"))
-    levels, members = level_table(nodes, tree, settings)
-    placed, clusters = cluster_tree(nodes, levels, cut_lineage(members), size)
-    chosen = chosen_clusters(clusters)
-    topmost = (
-        placed.join(F.broadcast(chosen), ["born", "head"])  # clusters are no more than cells
-        .groupBy("node")
-        .agg(F.min(F.struct("born", "head")).alias("c"))
-    )
-    first_nodes = topmost.groupBy("c").agg(F.min("node").alias("first_node"))
-    numbered = first_nodes.select("c", (F.row_number().over(Window.orderBy("first_node")) - 1).alias("topic_id"))
-    labelled = nodes.select("node", "cell").join(topmost.join(numbered, "c"), "node", "left")
-    by_cell = cut_lineage(labelled.select("cell", F.coalesce("topic_id", F.lit(-1)).cast("int").alias("topic_id")))
+    sizes = np.array([r.weight for r in nodes.select("node", "weight").orderBy("node").collect()])  # at most max_cells rows
+    topics = pd.DataFrame({"node": np.arange(len(sizes)), "topic_id": cell_topics(tree, sizes, size)})
+    topics = nodes.sparkSession.createDataFrame(topics, "node int, topic_id int")
+    by_cell = cut_lineage(nodes.join(F.broadcast(topics), "node").select("cell", "topic_id"))
     return keyed.join(F.broadcast(by_cell), "cell").select("row_id", "topic_id")  # at most max_cells rows
