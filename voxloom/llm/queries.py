@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.llm.alignment import aligned
 from voxloom.llm.common import held_out, table, texts
 from voxloom.llm.decontamination import with_contamination
 from voxloom.llm.jaccard_join import jaccard_components
@@ -105,6 +106,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return aligned(table(spark, sf_dir, "documents"), *paths)[0]
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_url_filters": op1_url_filters,
@@ -117,4 +123,5 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_alignment": op13_alignment,
 }
