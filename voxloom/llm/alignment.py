@@ -31,9 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import Pieces, WordEncoder, batches, encoder, texts, worker_memo, written
+from voxloom.llm.common import Pieces, WordEncoder, batches, texts, worker_memo, written
 
-SLICE_BYTES = 4 << 20  # text aligned together in a task
+SLICE_BYTES = 1 << 20  # text aligned together in a task
 FLUSH = 1 << 21  # pairs summed up together in a task
 ROWS = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -86,7 +86,7 @@ class PieceWords:
     with two white spaces in a row are encoded whole. The memo is emptied at ``most`` words.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 200_000):
         from sentencepiece import SentencePieceProcessor
 
         self.model, self.most = SentencePieceProcessor(model_file=path), most
@@ -152,7 +152,7 @@ class Aligner:
         self.a, self.b = Vocabulary.of(a, "|"), Vocabulary.of(b, ";")
         self.shown = pa.concat_arrays([self.a.shown, self.b.shown])
         self.of = identity_map(a, b)
-        self.words_a, self.words_b = encoder(path_a, space=True), PieceWords(path_b)
+        self.words_a, self.words_b = WordEncoder(path_a, space=True, most=300_000), PieceWords(path_b)
 
     def align(self, texts: pa.Array) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
         """n_a, n_b, n_groups, digest, A ids of mapped links, codes of other links for every text."""
@@ -245,6 +245,7 @@ def groups_of(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 out.append((row, doc_id, n_a, n_b, n, n, digest, same.astype("<u4").tobytes(), pairs.astype("<i8").tobytes(), times.astype("<u4").tobytes()))
                 row += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+        pa.default_memory_pool().release_unused()  # the worker lives on, for other tasks
 
     return texts(docs).mapInArrow(run, ROWS)
 
