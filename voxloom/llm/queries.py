@@ -13,6 +13,7 @@ from voxloom.llm.decontamination import with_contamination
 from voxloom.llm.jaccard_join import jaccard_components
 from voxloom.llm.language import train, with_language
 from voxloom.llm.packing import packed
+from voxloom.llm.quality import with_quality
 from voxloom.llm.secrets import KINDS, with_secrets
 from voxloom.llm.sql import ORACLE_SQL  # noqa: F401  read by the entry point
 from voxloom.llm.suffix_dedup import deduplicated
@@ -106,6 +107,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts(table(spark, sf_dir, "documents"))
+    scored = with_quality(docs, table(spark, sf_dir, "labels").where(~held_out()), docs.where(~held_out()), "score")
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return aligned(table(spark, sf_dir, "documents"), *paths)[0]
@@ -123,5 +131,6 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_quality": op12_quality,
     "op13_alignment": op13_alignment,
 }
