@@ -13,6 +13,7 @@ from voxloom.llm.decontamination import with_contamination
 from voxloom.llm.jaccard_join import jaccard_components
 from voxloom.llm.language import train, with_language
 from voxloom.llm.packing import packed
+from voxloom.llm.prefix_trie import trie
 from voxloom.llm.quality import with_quality
 from voxloom.llm.secrets import KINDS, with_secrets
 from voxloom.llm.sql import ORACLE_SQL  # noqa: F401  read by the entry point
@@ -107,6 +108,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie(table(spark, sf_dir, "conversations"), heads=9, every=5)
+
+
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = texts(table(spark, sf_dir, "documents"))
     scored = with_quality(docs, table(spark, sf_dir, "labels").where(~held_out()), docs.where(~held_out()), "score")
@@ -131,6 +136,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_quality": op12_quality,
     "op13_alignment": op13_alignment,
 }
