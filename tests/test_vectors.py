@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from voxloom.operators import metrics as M
 from voxloom.operators import representatives as R
 from voxloom.operators.arrays import centroids
-from voxloom.operators.density import cell_keys, cells, density_cluster
+from voxloom.operators import hierarchy, spanning
+from voxloom.operators.density import density_cluster, weighted_points
 from voxloom.operators.nearest import best_match
 from voxloom.operators.reduction import reduced
 from voxloom.settings import Settings
@@ -252,16 +253,92 @@ def test_density_reads_all_levels(spark):
 def test_density_counts_copies_as_weight(spark):
     x, _ = blobs()
     x = np.vstack([x, np.repeat(x[:1], 200, axis=0)])
-    keyed = cell_keys(points(spark, x), SETTINGS)
-    assert cells(keyed).agg(F.max("weight"), F.sum("weight"), F.count("*")).first() == (201, len(x), len(x) - 200)
+    single = weighted_points(points(spark, x))
+    assert single.agg(F.max("weight"), F.sum("weight"), F.count("*")).first() == (201, len(x), len(x) - 200)
+    assert sorted(r.id for r in single.collect()) == list(range(len(x) - 200))
     got = [r.topic_id for r in density_cluster(points(spark, x), 10, 4, SETTINGS).orderBy("row_id").collect()]
     assert got[0] >= 0 and set(got[270:]) == {got[0]}
 
 
-def test_density_on_a_grid(spark):
-    x, y = blobs()
-    small = Settings(max_cells=120)
-    keyed = cell_keys(points(spark, x), small)
-    assert 1 < keyed.select("cell").distinct().count() <= 120
-    got = np.array([r.topic_id for r in density_cluster(points(spark, x), 10, 4, small).orderBy("row_id").collect()])
-    assert rand_index(got[y >= 0], y[y >= 0]) > 0.9
+@pytest.mark.parametrize("seed,cell,range_", [(1, 4096, 1 << 17), (2, 120, 70)])
+def test_density_over_many_cells_and_ranges(spark, monkeypatch, seed, cell, range_):
+    """Small cells of space and ranges of weight give the labels of brute force; copies are weights."""
+    monkeypatch.setattr(spanning, "CELL", cell)
+    monkeypatch.setattr(spanning, "LEAF", 8)
+    monkeypatch.setattr(hierarchy, "RANGE", range_)
+    rng = np.random.default_rng(seed)
+    x = np.vstack([rng.normal(c, s, (n, 2)) for c, s, n in [((0, 0), 0.3, 70), ((3, 0), 0.2, 50), ((3, 1), 0.1, 30), ((0, 5), 1, 40)]])
+    x = np.vstack([x, rng.uniform(-3, 7, (30, 2)), np.repeat(x[:1], 5, axis=0), np.repeat(x[100:101], 7, axis=0)])
+    x = x[rng.permutation(len(x))]
+    got = [r.topic_id for r in density_cluster(points(spark, x), 10, 4, SETTINGS).orderBy("row_id").collect()]
+    assert got == brute_density(x, 10, 4).tolist()
+
+
+def brute_tree_weights(x, reach):
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    core = np.sort(d, axis=1)[:, reach - 1]
+    m = np.maximum(d, np.maximum(core[:, None], core[None]))
+    best, out, found = m[0].copy(), np.ones(len(x), bool), []
+    out[0] = False
+    while out.any():
+        at = np.where(out, best, np.inf).argmin()
+        found.append(best[at])
+        out[at] = False
+        best = np.minimum(best, m[at])
+    return np.sort(found)
+
+
+@pytest.mark.parametrize("cell", [4096, 200])
+def test_spanning_tree_of_two_thousand_points(spark, monkeypatch, cell):
+    monkeypatch.setattr(spanning, "CELL", cell)
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(rng.uniform(-5, 5, 5), 0.4, (300, 5)) for _ in range(6)] + [rng.uniform(-8, 8, (200, 5))])
+    single = weighted_points(points(spark, x))
+    placed, cells, n = spanning.dealt(single, 1)
+    tree = spanning.spanning_tree(spanning.core_distances(placed, 8), cells).toPandas()
+    above, kept = list(range(n)), []
+
+    def top(k):
+        while above[k] != k:
+            k = above[k]
+        return k
+
+    for a, b, w in tree.sort_values("w")[["a", "b", "w"]].itertuples(index=False):
+        a, b = top(int(a)), top(int(b))
+        if a != b:  # of edges of one weight there may be one too many
+            above[a] = b
+            kept.append(w)
+    assert n == len(x) and n - 1 <= len(tree) < 1.01 * n
+    assert np.allclose(kept, brute_tree_weights(x, 8), rtol=1e-12)
+
+
+def test_components_of_a_path_and_a_star(spark, monkeypatch):
+    monkeypatch.setattr(spanning, "FEW", 0)
+    rows = [(k, k + 1) for k in range(100, 140)] + [(7, 200 + k) for k in range(30)] + [(7, 7), (300, 300), (50, 9)]
+    got = {r.id: r.component for r in spanning.components(table(spark, rows, "u long, v long")).collect()}
+    assert got == {k: 100 for k in range(100, 141)} | {k: 7 for k in [7, *range(200, 230)]} | {9: 9, 50: 9}
+
+
+def test_long_runs_of_clusters_are_valued_in_few_rounds(spark):
+    """A comb: every cluster of the spine has one leaf beside the next one."""
+    rng = np.random.default_rng(6)
+    n, rows = 60, []
+    for k in range(n):
+        rows.append((2 * k, 2 * (k - 1) if k else None, float(rng.uniform(0, 6))))
+        rows.append((2 * k + 1, 2 * k, float(rng.uniform(0, 1))))
+    s, kids = {c: v for c, _, v in rows}, {}
+    for c, p, _ in rows:
+        kids.setdefault(p, []).append(c)
+    val = {}
+    for c, _, _ in reversed(rows):
+        val[c] = max(s[c], sum(val[k] for k in kids.get(c, [])))
+    clusters = table(spark, rows, "c long, parent long, s double")
+    got = {r.c: r.val for r in hierarchy.best_values(clusters).collect()}
+    assert got == pytest.approx(val)
+    best, parent = {}, {c: p for c, p, _ in rows}
+    for c, p, _ in rows:  # parents come first
+        taken = p is not None and s[c] >= sum(val[k] for k in kids.get(c, []))
+        best[c] = best.get(p) if best.get(p) is not None else c if taken else None
+    assert {r.c: r.best for r in hierarchy.chosen(clusters).collect()} == best
+    assert parent[0] is None and best[0] is None
+

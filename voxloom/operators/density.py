@@ -1,264 +1,25 @@
 """Density clustering with noise: mutual reachability, its minimum spanning tree, excess of mass.
 
-Comments are first counted into cells: equal vectors share one, and beyond ``max_cells`` different
-vectors a grid, as fine as that bound allows, shares them out. So a text with a third of all copies is
-one cell with a large weight, and everything quadratic runs over at most ``max_cells`` weighted cells,
-spread over tasks. The hierarchy is read off at all of the spanning tree's own weights.
+Comments with equal vectors are counted into one weighted point, so a text with a third of all copies is
+one point. Points, tree and hierarchy stay in Spark: see ``spanning`` and ``hierarchy``. There is no
+bound on the number of different vectors and no grid.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
-
-import numpy as np
-import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.operators.lookup import settled
+from voxloom.operators.hierarchy import cluster_of_points
+from voxloom.operators.spanning import core_distances, dealt, numbered, spanning_tree
 from voxloom.session import cut_lineage
 from voxloom.settings import Settings
 
-FINEST = 24  # 2^24 grid steps along the widest axis
-SLICE = 256  # cells compared with all others at a time inside a task
-
-
-# ---- cells -----------------------------------------------------------------------------------------
-def cell_keys(points: DataFrame, settings: Settings) -> DataFrame:
-    """points plus ``cell``: the vector itself, or its grid position at the finest affordable step."""
-    exact = F.col("vec")
-    if _n_cells(points, exact) <= settings.max_cells:
-        return points.withColumn("cell", exact)
-    low, span = _bounds(points)
-    # halving the step never lowers the number of cells, so the finest affordable one can be bisected
-    fits, too_fine = 0, FINEST + 1
-    while too_fine - fits > 1:
-        step = (fits + too_fine) // 2
-        if _n_cells(points, _grid(low, span, step)) <= settings.max_cells:
-            fits = step
-        else:
-            too_fine = step
-    return points.withColumn("cell", _grid(low, span, fits))
-
-
-def _n_cells(points: DataFrame, key) -> int:
-    return points.agg(F.count_distinct(F.coalesce(key, F.array()))).first()[0]
-
-
-def _bounds(points: DataFrame):
-    vectors = array_to_vector("vec")
-    row = points.agg(Summarizer.min(vectors).alias("lo"), Summarizer.max(vectors).alias("hi")).first()
-    low = row["lo"].toArray()
-    return low, max(float((row["hi"].toArray() - low).max()), 1e-12)
-
-
-def _grid(low, span, step):
-    corner = F.array(*[F.lit(float(x)) for x in low])
-    # the tiny shrink keeps the upper edge inside the last cell
-    scale = F.lit((2**step) / span * (1 - 1e-12))
-    return F.zip_with("vec", corner, lambda v, lo: F.floor((v - lo) * scale).cast("double"))
-
-
-def cells(keyed: DataFrame) -> DataFrame:
-    """node (0, 1, ...), cell, weight, vec: one weighted mean vector per cell."""
-    summed = keyed.groupBy("cell").agg(
-        F.count("*").alias("weight"),
-        Summarizer.mean(array_to_vector("vec")).alias("mean"),
-        F.min("row_id").alias("first_row"),
-    )
-    numbered = summed.withColumn("node", F.row_number().over(Window.orderBy("first_row")) - 1)
-    return numbered.select("node", "cell", "weight", vector_to_array("mean").alias("vec"))
-
-
-# ---- spanning tree -----------------------------------------------------------------------------------
-def _distances(block: np.ndarray, every: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(block), len(every)))
-    for axis in range(every.shape[1]):  # same order for (a, b) and (b, a): exactly symmetric
-        total += (block[:, axis, None] - every[None, :, axis]) ** 2
-    return np.sqrt(total)
-
-
-def _over_slices(nodes: DataFrame, work, schema: str) -> DataFrame:
-    """Run ``work(indices)`` for slices of the cell numbers, spread over the tasks."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            index = batch["node"].to_numpy()
-            for start in range(0, len(index), SLICE):
-                yield work(index[start : start + SLICE])
-
-    return nodes.select("node").mapInPandas(run, schema)
-
-
-def core_distances(nodes: DataFrame, shared, min_samples: int) -> DataFrame:
-    """node, core: distance at which min_samples comments are reached, the cell's own counted first."""
-
-    def work(index):
-        vectors, weights = shared.value
-        distance = _distances(vectors[index], vectors)
-        k = min(min_samples, len(vectors))
-        near = np.argpartition(distance, k - 1, axis=1)[:, :k]
-        order = np.take_along_axis(distance, near, 1).argsort(axis=1, kind="stable")
-        near = np.take_along_axis(near, order, 1)
-        reached = weights[near].cumsum(axis=1) >= min_samples
-        at = np.where(reached.any(axis=1), reached.argmax(axis=1), k - 1)
-        core = distance[np.arange(len(index)), near[np.arange(len(index)), at]]
-        return pd.DataFrame({"node": index, "core": core})
-
-    return _over_slices(nodes, work, "node int, core double")
-
-
-def lightest_exits(nodes: DataFrame, shared, component: np.ndarray) -> DataFrame:
-    """component, w, a, b: per component the lightest edge that leaves it, ties by the cell numbers."""
-    groups = nodes.sparkSession.sparkContext.broadcast(component)
-
-    def work(index):
-        vectors, _, core = shared.value
-        group = groups.value
-        weight = np.maximum(_distances(vectors[index], vectors), core[None, :])
-        weight = np.maximum(weight, core[index][:, None])
-        weight[group[index][:, None] == group[None, :]] = np.inf
-        to = weight.argmin(axis=1)
-        best = weight[np.arange(len(index)), to]
-        return pd.DataFrame(
-            {"component": group[index], "w": best, "a": np.minimum(index, to), "b": np.maximum(index, to)}
-        )
-
-    found = _over_slices(nodes, work, "component int, w double, a int, b int")
-    best = found.groupBy("component").agg(F.min(F.struct("w", "a", "b")).alias("e"))
-    return best.select("component", "e.w", "e.a", "e.b")
-
-
-def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest member number of every node's connected component."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        merged = label.copy()
-        np.minimum.at(merged, label[a], low)
-        np.minimum.at(merged, label[b], low)
-        while (merged != merged[merged]).any():
-            merged = merged[merged]
-        if (merged == label).all():
-            return label
-        label = merged
-
-
-def spanning_tree(nodes: DataFrame, min_samples: int) -> pd.DataFrame:
-    """a, b, w of the mutual reachability tree over at most ``max_cells`` cells.
-
-    Each round every component takes its lightest exit, so their number at least halves. The driver
-    keeps the component number of every cell, bounded by max_cells, as k-means keeps its centres.
-    """
-    context = nodes.sparkSession.sparkContext
-    held = nodes.select("node", "weight", "vec").orderBy("node").toPandas()  # at most max_cells rows
-    vectors, weights = np.array(held["vec"].tolist(), dtype=np.float64), held["weight"].to_numpy()
-    spread = settled(nodes.select(F.col("node").cast("int")).repartition(context.defaultParallelism))
-    core = core_distances(spread, context.broadcast((vectors, weights)), min_samples).orderBy("node").toPandas()
-    shared = context.broadcast((vectors, weights, core["core"].to_numpy()))
-    tree = pd.DataFrame({"a": [], "b": [], "w": []})
-    label = np.arange(len(held))
-    while label.max(initial=0) > 0:
-        exits = lightest_exits(spread, shared, label).toPandas()
-        tree = pd.concat([tree, exits[["a", "b", "w"]]]).drop_duplicates(["a", "b"])
-        label = components(len(label), tree["a"].to_numpy(int), tree["b"].to_numpy(int))
-    return tree
-
-
-# ---- hierarchy -----------------------------------------------------------------------------------------
-@dataclass
-class Part:
-    """A component of the edges up to weight ``made``; ``kids`` are the components it was joined from."""
-
-    size: int
-    first: int
-    made: float
-    kids: list[int] = field(default_factory=list)
-
-
-def dendrogram(tree: pd.DataFrame, sizes: np.ndarray) -> list[Part]:
-    """All components, the cells first (by number) and the whole last; edges of one weight join at once."""
-    ordered = tree.sort_values("w", kind="stable")
-    finest = float(ordered["w"].iloc[0])
-    parts = [Part(int(size), node, finest) for node, size in enumerate(sizes)]
-    above, at = list(range(len(parts))), list(range(len(parts)))
-
-    def top(node: int) -> int:
-        while above[node] != node:
-            above[node] = above[above[node]]
-            node = above[node]
-        return node
-
-    for w, edges in ordered.groupby("w", sort=True):
-        joined: dict[int, list[int]] = {}
-        for a, b in zip(edges["a"].astype(int), edges["b"].astype(int)):
-            a, b = top(a), top(b)
-            one, two = (joined.pop(x, None) or [at[x]] for x in (a, b))
-            if len(one) < len(two):
-                a, b, one, two = b, a, two, one
-            above[b] = a
-            one.extend(two)
-            joined[a] = one
-        for root, kids in joined.items():
-            at[root] = len(parts)
-            parts.append(Part(sum(parts[k].size for k in kids), min(parts[k].first for k in kids), float(w), kids))
-    return parts
-
-
-def chosen_parts(parts: list[Part], n: int, min_cluster_size: int) -> list[int]:
-    """Clusters at least as stable as the best choice below them, the topmost of each branch; never the root.
-
-    Components below the minimum size fall out. A component that is the only large one of those it
-    splits into continues its cluster; where two or more remain, each starts one. A cluster's stability
-    sums up size times the growth of density (one over distance) while it lasts.
-    """
-    finest = parts[0].made
-    if parts[-1].size < min_cluster_size:
-        return []
-    start, up, density, stability = [len(parts) - 1], [-1], [0.0], []
-    for c, part in enumerate(start):  # grows while it is read
-        reached = density[c]
-        total = 0.0
-        while True:
-            here = parts[part]
-            total += here.size * (1 / here.made - reached)
-            reached = 1 / here.made
-            # a cell that is joined at the smallest weight is never alone
-            large = [k for k in here.kids if parts[k].size >= min_cluster_size and (k >= n or here.made > finest)]
-            if len(large) != 1:
-                break
-            part = large[0]
-        stability.append(total)
-        start.extend(large)
-        up.extend([c] * len(large))
-        density.extend([reached] * len(large))
-    below = [0.0] * len(start)
-    for c in range(len(start) - 1, 0, -1):
-        below[up[c]] += max(stability[c], below[c])
-    covered, chosen = [False] * len(start), []
-    for c in range(1, len(start)):
-        covered[c] = covered[up[c]]
-        if not covered[c] and stability[c] >= below[c]:
-            covered[c] = True
-            chosen.append(start[c])
-    return sorted(chosen, key=lambda part: parts[part].first)
-
 
-def cell_topics(tree: pd.DataFrame, sizes: np.ndarray, min_cluster_size: int) -> np.ndarray:
-    """The topic of every cell, numbered by first cell, -1 is noise; all weights of the tree are levels."""
-    parts = dendrogram(tree, sizes)
-    topics = np.full(len(sizes), -1)
-    for number, part in enumerate(chosen_parts(parts, len(sizes), min_cluster_size)):
-        left = [part]
-        while left:
-            part = left.pop()
-            left.extend(parts[part].kids)
-            if part < len(sizes):
-                topics[part] = number
-    return topics
+def weighted_points(points: DataFrame) -> DataFrame:
+    """id (0, 1, ...), vec, weight, first: every different vector with its number of comments and first row_id."""
+    counted = points.groupBy("vec").agg(F.count("*").alias("weight"), F.min("row_id").alias("first"))
+    return numbered(counted)
 
 
 def density_cluster(
@@ -266,17 +27,21 @@ def density_cluster(
 ) -> DataFrame:
     """row_id, topic_id: clusters numbered by their first comment, -1 is noise.
 
-    points: row_id, vec ARRAY<DOUBLE> (a few dimensions).
+    points: row_id, vec ARRAY<DOUBLE> (a few dimensions, no nulls). A single different vector is noise,
+    as nothing stands out from it; an empty table gives no row.
     """
     size = max(2, min_cluster_size)
-    reach = size if min_samples is None else min_samples
-    keyed = cell_keys(points.select("row_id", "vec"), settings)
-    nodes = cut_lineage(cells(keyed))
-    tree = spanning_tree(nodes, reach)
-    if tree.empty:  # a single cell has no second cluster to stand out from
+    reach = size if min_samples is None else max(1, min_samples)
+    points = points.select("row_id", F.col("vec").cast("array<double>").alias("vec"))
+    single = weighted_points(points)
+    if single.limit(2).count() < 2:
         return points.select("row_id", F.lit(-1).alias("topic_id"))
-    sizes = np.array([r.weight for r in nodes.select("node", "weight").orderBy("node").collect()])  # at most max_cells rows
-    topics = pd.DataFrame({"node": np.arange(len(sizes)), "topic_id": cell_topics(tree, sizes, size)})
-    topics = nodes.sparkSession.createDataFrame(topics, "node int, topic_id int")
-    by_cell = cut_lineage(nodes.join(F.broadcast(topics), "node").select("cell", "topic_id"))
-    return keyed.join(F.broadcast(by_cell), "cell").select("row_id", "topic_id")  # at most max_cells rows
+    placed, cells, _ = dealt(single, settings.seed)
+    tree = cut_lineage(spanning_tree(core_distances(placed, reach), cells))
+    found = cluster_of_points(tree, single.select("id", F.col("weight").alias("size")), size)
+    named = cut_lineage(single.select("id", "vec", "first").join(found, "id"))
+    topics = named.where("cluster is not null").groupBy("cluster").agg(F.min("first").alias("first"))
+    # A row per topic: at least min_cluster_size comments stand behind each.
+    topics = topics.select("cluster", (F.row_number().over(Window.orderBy("first")) - 1).alias("topic_id"))
+    labelled = named.join(topics, "cluster", "left").select("vec", F.coalesce("topic_id", F.lit(-1)).alias("topic_id"))
+    return points.join(labelled, "vec").select("row_id", "topic_id")

@@ -26,8 +26,6 @@ class Settings:
     kmeans_noise: float = 0.30
     seed: int = 42
     kmeans_restarts: int = 10
-    density_levels: int = 32
-    max_cells: int = 8192
 
     # keywords and representatives
     min_df: int = 2
