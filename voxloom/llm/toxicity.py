@@ -5,7 +5,7 @@ identity group a twin is made in which the term is swapped for another one of it
 penalises the squared difference of the two scores. So a term can only carry weight that its
 counterparts carry too, and neutral mentions of a group are not taken for abuse.
 
-The model is fitted on at most ``sample_rows`` labelled documents (chosen by a hash of doc_id) and knows
+The model is fitted on at most ``sample_rows`` labelled documents (chosen by a hash of doc_id, one row of each) and knows
 at most ``vocabulary`` words, so what is sent to the tasks is bounded. Scoring reads every whole text.
 
 Cases: null and empty texts get the score of no evidence; a document labelled more than once counts as
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import batches, with_text_column
+from voxloom.llm.common import batches, with_text_column, written
 
 WORD = re.compile(r"[^\W\d_]+")
 # Terms of one kind are swapped for each other. A parameter: these are examples in four languages.
@@ -122,40 +122,41 @@ def fit(
     return {w: float(weights[i]) for w, i in number.items() if weights[i]}, float(bias)
 
 
-def telling(
-    column: pa.ChunkedArray, labels: list[int], groups: Sequence[Sequence[str]], min_chi2: float
-) -> tuple[list[set[str]], list[int]]:
-    """The sampled texts' words without those that tell nothing, which are nearly all of them."""
-    lists = column.combine_chunks()
-    words = lists.flatten().dictionary_encode()
-    codes, ends = words.indices.to_numpy(), lists.offsets.to_numpy()
-    rows = np.repeat(np.arange(len(lists)), np.diff(ends))
-    n = np.bincount(codes, minlength=len(words.dictionary))
-    toxic = np.bincount(codes, np.array(labels, float)[rows], len(n)) if len(codes) else n
-    names = words.dictionary.to_pylist()
-    terms = traces(groups)
-    chi2 = associated(Counter(dict(enumerate(n))), Counter(dict(enumerate(toxic))), len(lists), sum(labels))
-    kept = np.array([chi2[k] >= min_chi2 or name in terms for k, name in enumerate(names)], bool)
-    sets: list[set[str]] = [set() for _ in labels]
-    for row, code in zip(rows[kept[codes]].tolist(), codes[kept[codes]].tolist()) if len(codes) else ():
-        sets[row].add(names[code])
-    return sets, labels
-
-
 def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
-    """words, toxic of at most ``sample_rows`` labelled documents."""
-    toxic = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).dropna()
+    """row, toxic, words of at most ``sample_rows`` labelled documents, one row per doc_id, written once."""
+    toxic = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     chosen = toxic.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    # At most sample_rows rows of two numbers are broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # At most sample_rows rows of two numbers are broadcast; of the rows of one id the same one is always taken.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.first("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("r")
+    )
 
     def split(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts):
-            made = [sorted(words(t or "")) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.list_(pa.string())), batch.column(1)], ["words", "toxic"])
+            made = [sorted(words(t or "")) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.string()))], ["row", "toxic", "words"])
+
+    found = rows.select("doc_id", "toxic", "r.text").mapInArrow(split, "row long, toxic int, words array<string>")
+    return written(found, "toxicity-sample")
 
-    return rows.select("text", "toxic").mapInArrow(split, "words array<string>, toxic int")
+
+def telling(rows: DataFrame, groups: Sequence[Sequence[str]], min_chi2: float) -> tuple[list[set[str]], list[int]]:
+    """The sampled texts' words without those that tell nothing, which are nearly all of them.
+
+    Words are counted in Spark; the driver gets the telling ones of each of the sampled texts.
+    """
+    n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    each = rows.select("row", "toxic", F.explode("words").alias("word"))
+    counts = each.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic"))
+    base = toxic / n if n else 0.0
+    spread = base * (1 - base) or 1.0
+    chi2 = F.col("n") * F.pow(F.col("toxic") / F.col("n") - base, 2) / spread * n / F.greatest(F.lit(n) - F.col("n"), F.lit(1))
+    kept = counts.where((chi2 >= min_chi2) | F.col("word").isin(sorted(traces(groups)))).select("word")
+    found = each.join(kept, "word").groupBy("row").agg(F.collect_list("word").alias("kept"))  # a text's own words at most
+    held = rows.select("row", "toxic").join(found, "row", "left").orderBy("row").toArrow()  # bounded by sample_rows
+    return [set(w or ()) for w in held["kept"].to_pylist()], held["toxic"].to_pylist()
 
 
 def with_toxicity(
@@ -163,8 +164,7 @@ def with_toxicity(
     groups: Sequence[Sequence[str]] = IDENTITY_TERMS, min_chi2: float = 15.0, **options,
 ) -> DataFrame:
     """``docs`` plus the score 0 to 1 of each whole text; ``labels`` are those to learn from."""
-    rows = sample(docs, labels, sample_rows).toArrow()  # bounded by sample_rows
-    sets, labels_of = telling(rows["words"], rows["toxic"].to_pylist(), groups, min_chi2)
+    sets, labels_of = telling(sample(docs, labels, sample_rows), groups, min_chi2)
     weights, bias = fit(sets, labels_of, groups=groups, min_chi2=min_chi2, **options)
     sent = docs.sparkSession.sparkContext.broadcast((weights, bias))  # bounded by vocabulary
 
