@@ -5,7 +5,7 @@ shingle among the first few of each, in any order common to all documents. The o
 a table of about a million counters, filled by all documents, says how frequent a shingle is (its size is
 fixed; two shingles on one counter only make the order a little worse, never the result).
 
-1. Documents with equal sets form a class, kept by its smallest doc_id.
+1. Documents with the same words in the same order form a class, kept by its smallest doc_id.
 2. Every class sends its first shingles with set size and place to an index; shingles of one class only
    drop out.
 3. In each index group the classes are compared with one of them. Links found that way join most near
@@ -15,7 +15,8 @@ fixed; two shingles on one counter only make the order a little worse, never the
 
 Before texts are looked at, pairs go through the length filter and the positional filter (how much can
 still overlap behind the shared places); then through the suffix filter, and are counted exactly, once.
-The texts of pairs travel compressed, and only those of documents in a pair.
+The texts of pairs travel compressed, and only those of documents in a pair. Hashed shingles only find
+pairs and pass the filters; a pair is linked by its words, and a class is named by 128 bits of BLAKE2.
 
 Cases: null and empty texts, or texts of white space, have no shingle and are linked with nothing; a
 text of fewer words is one shingle of all its words; rows that share a doc_id are one document with the
@@ -24,11 +25,13 @@ links of each; rows without doc_id have no component; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -44,7 +47,6 @@ FAN = 64  # counter rows of one task that are summed up together
 FILTER_BITS = 26  # of the bitmap of wanted documents
 BASE = 0x9E3779B97F4A7C15
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -53,47 +55,42 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-class Shingles:
-    """Shingle sets of texts as sorted 64-bit numbers; words are hashed all at once from prefix sums."""
-
-    def __init__(self, size: int):
-        self.size, self.n = size, 0
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def words(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and first byte of every word of lower-cased bytes."""
-        raw = np.frombuffer(data, np.uint8)
-        if len(raw) > self.n:
-            self.n = len(raw)
-            self.up, self.down = powers(BASE, self.n), powers(pow(BASE, -1, 1 << 64), self.n)
-        blank = SPACE[raw]
-        edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8)))
-        first, stop = edges[::2], edges[1::2]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw + np.uint64(1)) * self.up[: len(raw)], dtype=np.uint64)])
-        return mixed((sums[stop] - sums[first]) * self.down[first]), first
-
-    def sets(self, found: list[str]) -> Iterator[np.ndarray]:
-        parts = [t.encode("utf-8").lower() for t in found]
-        words, first = self.words(b" ".join(parts))
-        ends = np.cumsum([len(p) + 1 for p in parts])
-        places = np.concatenate([[0], np.searchsorted(first, ends)])
-        for start, stop in zip(places[:-1].tolist(), places[1:].tolist()):
-            yield self.of(words[start:stop])
-
-    def of(self, words: np.ndarray) -> np.ndarray:
-        width = min(self.size, len(words))
-        if not width:
-            return np.zeros(0, np.uint64)
-        total = np.full(len(words) - width + 1, width, np.uint64)
-        for k in range(width):
-            total = mixed(total * np.uint64(BASE) + words[k : len(words) - width + 1 + k])
-        return np.unique(total)
+def words_of(text: str) -> list[bytes]:
+    """Words with A-Z lower-cased; bytes are split at 0x20 and 0x09 to 0x0D."""
+    return text.encode("utf-8").lower().split()
+
+
+def exact_set(words: list[bytes], size: int, known: dict[bytes, int]) -> np.ndarray:
+    """The set itself: each shingle as the numbers that its words have in ``known``."""
+    width = min(size, len(words))
+    if not width:
+        return np.zeros(0, np.dtype((np.void, 4)))
+    numbers = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
+    rows = np.lib.stride_tricks.sliding_window_view(numbers, width)
+    return np.unique(np.ascontiguousarray(rows).view(np.dtype((np.void, 4 * width))).ravel())
+
+
+def shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many shingles two sets share; those of unequal width never are equal."""
+    return len(np.intersect1d(x, y, assume_unique=True)) if x.dtype == y.dtype else 0
+
+
+def class_of(words: list[bytes]) -> tuple[int, int]:
+    """128 bits that stand for the words in their order."""
+    digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
+def shingles(words: list[bytes], size: int) -> np.ndarray:
+    """The set as sorted 64-bit names. They find candidates; ``verified`` compares the words themselves."""
+    width = min(size, len(words))
+    if not width:
+        return np.zeros(0, np.uint64)
+    names = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    total = np.full(len(names) - width + 1, width, np.uint64)
+    for k in range(width):
+        total = mixed(total * np.uint64(BASE) + names[k : len(names) - width + 1 + k])
+    return np.unique(total)
 
 
 def slices(rows: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
@@ -110,32 +107,33 @@ def slices(rows: Iterator[pa.RecordBatch], most: int = 1 << 19) -> Iterator[pa.R
 
 
 def profiles(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, n, sig of every document, and how frequent the shingles of each counter are."""
+    """doc_id, n, sig, more of every document, and how frequent the shingles of each counter are."""
 
     def profile(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts = Shingles(size), np.zeros(1 << BITS, np.int64)
-        names = ["doc_id", "n", "sig", "chunk", "part", "counts"]
+        counts = np.zeros(1 << BITS, np.int64)
+        names = ["doc_id", "n", "sig", "more", "chunk", "part", "counts"]
         for batch in slices(rows):
-            sets = list(shingles.sets(batch.column(1).to_pylist()))
-            place, more = np.unique(np.concatenate(sets) >> np.uint64(64 - BITS), return_counts=True)
-            counts[place] += more
-            sig = [int(mixed(s ^ np.uint64(BASE)).sum(dtype=np.uint64).view(np.int64)) for s in sets]
+            found = [words_of(t) for t in batch.column(1).to_pylist()]
+            sets = [shingles(words, size) for words in found]
+            place, times = np.unique(np.concatenate(sets) >> np.uint64(64 - BITS), return_counts=True)
+            counts[place] += times
+            sig, more = zip(*map(class_of, found))
             none = [None] * len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array(sig, pa.int64()),
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array(sig, pa.int64()), pa.array(more, pa.int64()),
                  pa.array(none, pa.int32()), pa.array(none, pa.int32()), pa.array(none, pa.binary())], names,
             )
         chunks = np.minimum(counts, (1 << 31) - 1).astype("<u4").reshape(-1, 1 << CHUNK)
         n, part = len(chunks), TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([None] * n, pa.int64()), pa.array([None] * n, pa.int32()), pa.array([None] * n, pa.int64()),
+            [pa.array([None] * n, pa.int64()), pa.array([None] * n, pa.int32()), pa.array([None] * n, pa.int64()), pa.array([None] * n, pa.int64()),
              pa.array(range(n), pa.int32()), pa.array([part] * n, pa.int32()),
              pa.array([c.tobytes() for c in chunks], pa.binary())], names,
         )
 
-    schema = "doc_id long, n int, sig long, chunk int, part int, counts binary"
+    schema = "doc_id long, n int, sig long, more long, chunk int, part int, counts binary"
     rows = written(docs.mapInArrow(profile, schema), "jaccard-profiles")
-    return rows.where("chunk is null").select("doc_id", "n", "sig"), frequencies(rows.where("chunk is not null"))
+    return rows.where("chunk is null").select("doc_id", "n", "sig", "more"), frequencies(rows.where("chunk is not null"))
 
 
 def frequencies(chunks: DataFrame) -> np.ndarray:
@@ -165,17 +163,18 @@ def index(docs: DataFrame, size: int, share: tuple[int, int], levels: np.ndarray
     sent = docs.sparkSession.sparkContext.broadcast(levels)  # one byte for each counter
 
     def prefixes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, levels = Shingles(size), sent.value
+        levels = sent.value
         for batch in slices(rows):
             tokens, counts, ns, sigs = [], [], [], []
-            for s in shingles.sets(batch.column(1).to_pylist()):
+            for words in map(words_of, batch.column(1).to_pylist()):
+                s = shingles(words, size)
                 n = len(s)
                 length = n - -(-num * n // den) + 1 if n else 0
                 order = np.argsort(levels[s >> np.uint64(64 - BITS)], kind="stable")[:length]
                 tokens.append(s[order].view(np.int64))
                 counts.append(length)
                 ns.append(n)
-                sigs.append(mixed(s ^ np.uint64(BASE)).sum(dtype=np.uint64).view(np.int64))
+                sigs.append(class_of(words)[0])
             counts = np.array(counts)
             place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             yield pa.RecordBatch.from_arrays(
@@ -209,13 +208,9 @@ def overlap_bound(x: np.ndarray, y: np.ndarray, depth: int = 2) -> int:
     return overlap_bound(x[:at], y[:to], depth - 1) + overlap_bound(x[at:], y[to:], depth - 1)
 
 
-def similar(x: np.ndarray, y: np.ndarray, share: tuple[int, int]) -> bool:
+def enough(inter: int, x: int, y: int, share: tuple[int, int]) -> bool:
     num, den = share
-    enough = lambda inter: den * inter >= num * (len(x) + len(y) - inter)
-    if not enough(overlap_bound(x, y)):
-        return False
-    place = np.minimum(np.searchsorted(y, x), len(y) - 1)
-    return bool(enough(int((y[place] == x).sum())))
+    return den * inter >= num * (x + y - inter)
 
 
 def wanted_bits(ids: DataFrame) -> np.ndarray:
@@ -265,18 +260,20 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, share: tuple[int, int
     rows = rows.join(found.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
 
     def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, press = Shingles(size), zstandard.ZstdDecompressor()
-        last, left = None, None
+        press = zstandard.ZstdDecompressor()
+        last, left, left_set, known = None, None, None, {}
         for batch in batches(parts):
-            a, b, text_a, text_b = (c.to_pylist() for c in batch.columns)
-            rights = shingles.sets([press.decompress(t).decode() for t in text_b])
             links = []
-            for k, right in enumerate(rights):
-                if last != (a[k], text_a[k]):
-                    last = (a[k], text_a[k])
-                    left = next(shingles.sets([press.decompress(text_a[k]).decode()]))
-                if similar(left, right, share):
-                    links.append((a[k], b[k]))
+            for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns)):
+                if last != (a, text_a) or len(known) > 1 << 20:
+                    words, known = words_of(press.decompress(text_a).decode()), {}
+                    last, left, left_set = (a, text_a), shingles(words, size), exact_set(words, size, known)
+                words = words_of(press.decompress(text_b).decode())
+                right = shingles(words, size)
+                if enough(overlap_bound(left, right), len(left), len(right), share):
+                    right_set = exact_set(words, size, known)
+                    if enough(shared(left_set, right_set), len(left_set), len(right_set), share):
+                        links.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     linked = rows.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
@@ -287,12 +284,12 @@ def jaccard_components(docs: DataFrame, *, size: int = 3, share: tuple[int, int]
     """doc_id, n_shingles, component_id; ``share`` is the similarity as a fraction."""
     docs = texts(docs)
     rows, levels = profiles(docs, size)
-    classes = rows.where("n > 0").groupBy("sig", "n").agg(F.min("doc_id").alias("id")).where("id is not null")
+    classes = rows.where("n > 0").groupBy("sig", "more", "n").agg(F.min("doc_id").alias("id")).where("id is not null")
     path = scratch_path(docs.sparkSession, "jaccard-index")
     first = written(index(docs, size, share, levels), "", path)
-    shared = first.groupBy("token").agg(F.min("sig").alias("least"), F.max("sig").alias("most"))
-    shared = written(shared.where("least != most").select("token"), "jaccard-shared")
-    live = perhaps(first, shared, "token").join(shared, "token").distinct().join(classes, ["sig", "n"]).select("token", "id", "n", "place")
+    common = first.groupBy("token").agg(F.min("sig").alias("least"), F.max("sig").alias("most"))
+    common = written(common.where("least != most").select("token"), "jaccard-shared")
+    live = perhaps(first, common, "token").join(common, "token").distinct().join(classes.select("sig", "n", "id"), ["sig", "n"]).select("token", "id", "n", "place")
     live = written(live, "jaccard-live")
     discard(docs.sparkSession, path)
 
@@ -324,8 +321,8 @@ def jaccard_components(docs: DataFrame, *, size: int = 3, share: tuple[int, int]
     edges = more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
     found = components(edges)
 
-    of = classes.join(found, "id", "left").select("sig", "n", F.coalesce("component", "id").alias("component_id"))
-    out = rows.join(of, ["sig", "n"], "left")
+    of = classes.join(found, "id", "left").select("sig", "more", "n", F.coalesce("component", "id").alias("component_id"))
+    out = rows.join(of, ["sig", "more", "n"], "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
