@@ -4,7 +4,8 @@ A position is named by the string of ``h`` bytes that starts there; two halves o
 string of twice the length. Positions whose name is unique are settled (no longer string from there is
 repeated) and drop out, until the names reach the threshold. Only equality matters here, not order, so
 a name is a fingerprint of the string, the same wherever it is made, and Spark brings equal names
-together by a shuffle.
+together by a shuffle. What is removed is decided by 96 bits of BLAKE2 over the strings themselves; the
+fast fingerprints that choose positions only find candidates.
 
 Half the threshold (``h`` = 200) is named at chosen positions only: among the halves inside a window of
 threshold length the one with the least fingerprint, leftmost of equals. Equal windows choose equally, so
@@ -29,44 +30,51 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import batches, discard, texts, written
-from voxloom.llm.jaccard_join import BASE, FILTER_BITS, mixed, perhaps, powers, slices, wanted_bits
+from voxloom.llm.jaccard_join import BASE, FILTER_BITS, mixed, perhaps, slices, wanted_bits
 from voxloom.session import scratch_path
 
-ANCHORS = "name long, around long, key long, first int, last int"
+ANCHORS = "name long, around long, around_more int, key long, key_more int, first int, last int"
+WINDOWS = "name long, full long, full_more int, key long, key_more int, start int"
+BLOCK = 1 << 22  # windows of one text that are named at a time
+KEY = ["key", "key_more"]
+DIGEST = np.dtype([("most", "<i8"), ("more", "<i4")])
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
 class Names:
-    """Names of strings of the texts of a batch, from one array of prefix sums."""
+    """Fast names of all strings of one length, from prefix sums; unequal strings may share one."""
 
     def __init__(self):
         self.n = 0
         self.up = self.down = np.ones(1, np.uint64)
 
-    def load(self, data: bytes) -> None:
+    def every(self, data: bytes, length: int) -> np.ndarray:
         raw = np.frombuffer(data, np.uint8)
         if len(raw) > self.n:
             self.n = len(raw)
             self.up, self.down = powers(BASE, self.n), powers(pow(BASE, -1, 1 << 64), self.n)
         terms = (raw + np.uint64(1)) * self.up[: len(raw)]
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
+        return mixed((sums[length:] - sums[:-length]) * self.down[: len(raw) - length + 1])
 
-    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[stop] - self.sums[start]) * self.down[start])
 
-    def every(self, start: int, stop: int, length: int) -> np.ndarray:
-        """The names of the strings of ``length`` bytes at start, ..., stop - 1."""
-        sums = self.sums
-        return mixed((sums[start + length : stop + length] - sums[start:stop]) * self.down[start:stop])
+def digests(strings: Iterable[bytes]) -> np.ndarray:
+    """96 bits that stand for each of the strings."""
+    return np.frombuffer(b"".join(hashlib.blake2b(s, digest_size=12).digest() for s in strings), DIGEST)
 
 
 def least_of(values: np.ndarray, width: int) -> np.ndarray:
@@ -78,44 +86,50 @@ def least_of(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - have)], values[width - have :]) if width > have else values
 
 
-def runs(names: Names, size: int, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Chosen positions of the loaded bytes with the first and last window start that chooses them."""
-    half = threshold // 2
-    if size < threshold:
-        return (np.zeros(0, np.int64),) * 3
-    halves = names.every(0, size - half + 1, half)
-    # The upper bits of the name, then the position: the least is the leftmost of the least names.
-    packed = (halves & ~np.uint64((1 << 28) - 1)) | np.arange(len(halves), dtype=np.uint64)
-    chosen = (least_of(packed, threshold - half + 1) & np.uint64((1 << 28) - 1)).astype(np.int64)
-    begin = np.flatnonzero(np.diff(chosen, prepend=-1))
-    return chosen[begin], begin, np.append(begin[1:], len(chosen)) - 1
+def runs(names: Names, data: bytes, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Chosen positions with their names and the first and last window start that chooses them."""
+    half, windows = threshold // 2, len(data) - threshold + 1
+    found = []
+    for at in range(0, windows, BLOCK):
+        halves = names.every(data[at : min(at + BLOCK, windows) + threshold - 1], half)
+        # The upper bits of the name, then the position: the least is the leftmost of the least names.
+        packed = (halves & ~np.uint64((1 << 28) - 1)) | np.arange(len(halves), dtype=np.uint64)
+        chosen = (least_of(packed, threshold - half + 1) & np.uint64((1 << 28) - 1)).astype(np.int64)
+        begin = np.flatnonzero(np.diff(chosen, prepend=-1))
+        found.append((chosen[begin] + at, halves[chosen[begin]], begin + at))
+    chosen, name, first = (np.concatenate(c) for c in zip(*found))
+    new = np.diff(chosen, prepend=-1) != 0  # a run goes on over the border of blocks
+    chosen, name, first = chosen[new], name[new], first[new]
+    return chosen, name.view(np.int64), first, np.append(first[1:], windows) - 1
 
 
-def key_of(data: bytes) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(data)).view(np.int64))
+def key_of(data: bytes) -> tuple[int, int]:
+    return digests([data])[0].item()
 
 
 def anchors(docs: DataFrame, threshold: int) -> DataFrame:
-    """A row for every chosen position: its name, that of the text its windows stretch over, text, windows."""
-    half = threshold // 2
+    """A row for every chosen position: its name, that of the text its windows stretch over, the text's key, windows."""
 
     def choose(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = Names()
         for batch in slices(rows, 1 << 20):
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            out: list[list[np.ndarray]] = [[], [], [], [], [], [], []]
             for text in batch.column(1).to_pylist():
                 data = text.encode()
                 if len(data) < threshold:
                     continue
-                names.load(data)
-                at, first, last = runs(names, len(data), threshold)
-                around = mixed(names.of(first, last + threshold) + mixed((at - first).astype(np.uint64)) * np.uint64(BASE) + (last - first).astype(np.uint64))
-                for column, values in zip(out, (names.of(at, at + half).view(np.int64), around.view(np.int64), np.full(len(at), key_of(data)), first, last)):
+                at, name, first, last = runs(names, data, threshold)
+                around = digests(
+                    b"%d,%d:" % (place, windows) + data[start : start + windows + threshold]
+                    for place, start, windows in zip((at - first).tolist(), first.tolist(), (last - first).tolist())
+                )
+                key, more = key_of(data)
+                for column, values in zip(out, (name, around["most"], around["more"], np.full(len(at), key), np.full(len(at), more), first, last)):
                     column.append(values)
             if out[0]:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
                 columns = [pa.array(np.concatenate(c), k) for c, k in zip(out, kinds)]
-                yield pa.RecordBatch.from_arrays(columns, ["name", "around", "key", "first", "last"])
+                yield pa.RecordBatch.from_arrays(columns, ["name", "around", "around_more", *KEY, "first", "last"])
 
     return docs.mapInArrow(choose, ANCHORS)
 
@@ -135,11 +149,11 @@ def carrying(docs: DataFrame, keys: DataFrame, whole: bool) -> DataFrame:
             for doc_id, data, bit in zip(doc_ids, found, batch.column(2).to_pylist()):
                 wanted = bool(int(bitmap[bit >> 6]) >> (bit & 63) & 1)
                 if wanted or whole:
-                    out.append((doc_id, key_of(data), len(data), hashlib.sha256(data).hexdigest() if whole else None, press.compress(data) if wanted else None))
-            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "size", "sha256", "data"])
+                    out.append((doc_id, *key_of(data), len(data), hashlib.sha256(data).hexdigest() if whole else None, press.compress(data) if wanted else None))
+            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *KEY, "size", "sha256", "data"])
 
-    return docs.select("doc_id", "text", "bit").mapInArrow(carry, "doc_id long, key long, size long, sha256 string, data binary")
+    return docs.select("doc_id", "text", "bit").mapInArrow(carry, "doc_id long, key long, key_more int, size long, sha256 string, data binary")
 
 
 def with_bits(docs: DataFrame) -> DataFrame:
@@ -147,7 +161,7 @@ def with_bits(docs: DataFrame) -> DataFrame:
 
     def bits(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            keys = pa.array([key_of(t.encode()) for t in batch.column(1).to_pylist()], pa.int64())
+            keys = pa.array([key_of(t.encode())[0] for t in batch.column(1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], ["doc_id", "text", "key"])
 
     keyed = docs.mapInArrow(bits, "doc_id long, text string, key long")
@@ -155,52 +169,57 @@ def with_bits(docs: DataFrame) -> DataFrame:
 
 
 def full_names(texts_of: DataFrame, threshold: int) -> DataFrame:
-    """name, full, key, start of every window of the runs; texts_of: key, data, runs."""
+    """A row for every window of the runs: the run's name, the window's own; texts_of: key, key_more, data, runs."""
 
     def explode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, press = Names(), zstandard.ZstdDecompressor()
+        press = zstandard.ZstdDecompressor()
         for batch in batches(rows, 32):
-            for key, data, found in zip(*(c.to_pylist() for c in batch.columns)):
-                names.load(press.decompress(data))
+            for key, more, data, found in zip(*(c.to_pylist() for c in batch.columns)):
+                data = press.decompress(data)
                 sizes = [r["last"] - r["first"] + 1 for r in found]
-                full = [names.every(r["first"], r["last"] + 1, threshold) for r in found]
-                start = [np.arange(r["first"], r["last"] + 1, dtype=np.int32) for r in found]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.array([r["name"] for r in found], np.int64), sizes)),
-                     pa.array(np.concatenate(full).view(np.int64)), pa.array(np.full(sum(sizes), key)), pa.array(np.concatenate(start))],
-                    ["name", "full", "key", "start"],
-                )
+                name = np.repeat(np.array([r["name"] for r in found], np.int64), sizes)
+                start = np.concatenate([np.arange(r["first"], r["last"] + 1, dtype=np.int32) for r in found])
+                for at in range(0, len(start), 1 << 16):
+                    some = start[at : at + (1 << 16)]
+                    full = digests(data[p : p + threshold] for p in some.tolist())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(name[at : at + (1 << 16)]), pa.array(full["most"].copy()), pa.array(full["more"].copy()),
+                         pa.array(np.full(len(some), key)), pa.array(np.full(len(some), more, np.int32)), pa.array(some)],
+                        ["name", "full", "full_more", *KEY, "start"],
+                    )
 
-    return texts_of.select("key", "data", "runs").mapInArrow(explode, "name long, full long, key long, start int")
+    return texts_of.select(*KEY, "data", "runs").mapInArrow(explode, WINDOWS)
 
 
 def repeated(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     """Keys of texts that occur more than once; key, first, last of repeated windows in other texts."""
+    around = ["around", "around_more"]
     path = scratch_path(docs.sparkSession, "suffix-anchors")
     rows = written(anchors(docs, threshold), "", path)
-    copied = rows.where("first = 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    copied = rows.where("first = 0").groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(KEY)
     copied = written(copied, "suffix-copied")
     names = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
     names = written(names, "suffix-names")
     # Copies of a text are counted, not kept apart: a group of copies is one row for each position.
-    live = perhaps(rows, names, "name").join(names, "name").groupBy("name", "around", "key", "first", "last").agg(F.count(F.lit(1)).alias("n"))
+    live = perhaps(rows, names, "name").join(names, "name").groupBy("name", *around, *KEY, "first", "last").agg(F.count(F.lit(1)).alias("n"))
     live = written(live, "suffix-live")
     discard(docs.sparkSession, path)
-    kinds = live.groupBy("name", "around").agg(F.sum("n").alias("n"), F.min(F.struct("key", "first", "last")).alias("one"))
+    kinds = live.groupBy("name", *around).agg(F.sum("n").alias("n"), F.min(F.struct(*KEY, "first", "last")).alias("one"))
     kinds = written(kinds, "suffix-kinds")
-    again = live.join(kinds.where("n > 1").select("name", "around"), ["name", "around"]).select("key", "first", "last")
+    again = live.join(kinds.where("n > 1").select("name", *around), ["name", *around]).select(*KEY, "first", "last")
     # Names with a run that is met once and another kind of run: only these are open.
     open_names = kinds.groupBy("name").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds"))
     open_names = open_names.where("least = 1 AND kinds > 1").select("name")
-    ones = kinds.join(open_names, "name").select("name", "one.*").groupBy("key")
+    ones = kinds.join(open_names, "name").select("name", "one.*").groupBy(KEY)
     ones = written(ones.agg(F.collect_list(F.struct("name", "first", "last")).alias("runs")), "suffix-open")
     data = carrying(with_bits(docs), ones.select("key"), whole=False).where("data is not null")
-    data = data.groupBy("key").agg(F.min("data").alias("data"))
-    full = written(full_names(data.join(ones, "key"), threshold), "suffix-full")
-    twice = full.groupBy("name", "full").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "full")
+    data = data.groupBy(KEY).agg(F.min("data").alias("data"))
+    full = written(full_names(data.join(ones, KEY), threshold), "suffix-full")
+    window = ["name", "full", "full_more"]
+    twice = full.groupBy(window).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(window)
     twice = written(twice, "suffix-twice")
-    edge = perhaps(full, twice, "full").join(twice, ["name", "full"]).select("key", F.col("start").alias("first"), F.col("start").alias("last"))
-    return copied, again.unionByName(edge).join(copied, "key", "left_anti").distinct()
+    edge = perhaps(full, twice, "full").join(twice, window).select(*KEY, F.col("start").alias("first"), F.col("start").alias("last"))
+    return copied, again.unionByName(edge).join(copied, KEY, "left_anti").distinct()
 
 
 def merged(windows: list[dict], threshold: int) -> list[list[int]]:
@@ -217,11 +236,11 @@ def deduplicated(docs: DataFrame, *, threshold: int = 400) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed bytes) of every document."""
     docs = texts(docs)
     copied, windows = repeated(docs, threshold)
-    by_key = windows.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("windows"))
+    by_key = windows.groupBy(KEY).agg(F.collect_list(F.struct("first", "last")).alias("windows"))
     by_key = written(by_key, "suffix-windows")
-    marks = by_key.select("key", "windows", F.lit(False).alias("copied"))
-    marks = marks.unionByName(copied.select("key", F.lit(None).cast("array<struct<first:int,last:int>>").alias("windows"), F.lit(True).alias("copied")))
-    rows = carrying(with_bits(docs), by_key.select("key"), whole=True).join(marks, "key", "left")
+    marks = by_key.select(*KEY, "windows", F.lit(False).alias("copied"))
+    marks = marks.unionByName(copied.select(*KEY, F.lit(None).cast("array<struct<first:int,last:int>>").alias("windows"), F.lit(True).alias("copied")))
+    rows = carrying(with_bits(docs), by_key.select("key"), whole=True).join(marks, KEY, "left")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>"
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
