@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from voxloom.llm.components import components
-from voxloom.llm.jaccard_join import jaccard_components, overlap_bound
+from voxloom.llm.jaccard_join import exact_set, jaccard_components, overlap_bound, shared, words_of
 from voxloom.llm.queries import op10_jaccard_join
 
 SF = "/root/testdata/sf0.01"
@@ -73,6 +73,30 @@ def test_empty_table_repeated_and_missing_ids(spark):
     assert jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_join_the_links_of_each(spark):
+    x, y = "a b c d e", "v w x y z"
+    docs = [(3, x), (7, x), (7, y), (9, y), (11, "p q r"), (12, "s t u"), (12, "p q r"), (13, "s t u v")]
+    rows = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in rows) == [(3, 3), (7, 3), (7, 3), (9, 3), (11, 11), (12, 11), (12, 11), (13, 13)]
+
+
+def test_words_with_equal_sums_modulo_a_power_of_two_stay_apart(spark):
+    even = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))  # even - odd is a product of (1 - x^k)
+    odd = even.translate(str.maketrans("ab", "ba"))
+    docs = [(1, even), (2, odd), (3, f"{even} {odd} c"), (4, f"{odd} {even} c"), (5, f"{even} d e f"), (6, f"{odd} d e f"), (7, odd.upper())]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard_components(table).collect()) == brute(docs, 3, (90, 100))
+
+
+@given(st.lists(st.text(" \taAé\x1c\x85\xa0", max_size=8), min_size=1, max_size=3), st.integers(1, 4))
+def test_exact_sets_equal_brute_force(found, size):
+    known = {}
+    sets = [exact_set(words_of(t), size, known) for t in found]
+    want = [shingles(t, size) for t in found]
+    assert [len(s) for s in sets] == [len(s) for s in want]
+    assert [shared(sets[0], s) for s in sets] == [len(want[0] & s) for s in want]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 60)), st.sets(st.integers(0, 60)))
 def test_suffix_bound_is_never_too_low(x, y):

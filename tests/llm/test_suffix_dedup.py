@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from voxloom.llm import suffix_dedup
 from voxloom.llm.queries import op2_suffix_dedup
 from voxloom.llm.suffix_dedup import deduplicated, least_of
 
@@ -52,6 +53,26 @@ def test_overlaps_periods_and_copies(spark, threshold, seed):
     assert rows_of(deduplicated(table, threshold=threshold)) == brute(docs, threshold)
 
 
+@pytest.mark.parametrize("threshold", [512, 1024, 2048])
+def test_strings_with_equal_sums_modulo_a_power_of_two_stay(spark, threshold):
+    even = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))  # even - odd is a product of (1 - x^k)
+    odd = even.translate(str.maketrans("ab", "ba"))
+    texts = [f"1{even}2", f"3{odd}4", f"5{even}{odd}c", f"6{odd}{even}d", f"7{even}{even}e", f"8{even[:700]}"]
+    docs = list(enumerate(texts))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows_of(deduplicated(table, threshold=threshold)) == brute(docs, threshold)
+    alone = spark.createDataFrame([(1, even), (2, odd)], "doc_id long, text string")
+    if threshold == 1024:
+        assert [r[2] for r in rows_of(deduplicated(alone, threshold=threshold))] == [0, 0]
+
+
+def test_long_texts_are_named_in_blocks_that_do_not_show(monkeypatch):
+    data = bytes(random.Random(5).choices(b"ab", k=3000)) * 2
+    whole = suffix_dedup.runs(suffix_dedup.Names(), data, 60)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 97)
+    assert all((a == b).all() for a, b in zip(whole, suffix_dedup.runs(suffix_dedup.Names(), data, 60)))
+
+
 def test_empty_table(spark):
     assert deduplicated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

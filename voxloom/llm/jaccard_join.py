@@ -20,7 +20,8 @@ pairs and pass the filters; a pair is linked by its words, and a class is named
 
 Cases: null and empty texts, or texts of white space, have no shingle and are linked with nothing; a
 text of fewer words is one shingle of all its words; rows that share a doc_id are one document with the
-links of each; rows without doc_id have no component; other columns are ignored.
+links of each; a row without doc_id links nothing and gets the component of the documents with the very
+same words, if there are any; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -302,8 +303,9 @@ def jaccard_components(docs: DataFrame, *, size: int = 3, share: tuple[int, int]
     leads = leads.select("token", "band", "lead.*")
     pairs = banded.alias("x").join(leads.alias("y"), ["token", "band"]).where(F.col("x.id") != F.col("y.id"))
     pairs = cut_lineage(as_pairs(pairs.where(can_link(share))))
+    own = cut_lineage(same_document(rows, classes))
     links = verified(docs, pairs, size, share)
-    found = components(links)
+    found = components(links.unionByName(own))
 
     placed = live.join(found, "id", "left").select("*", F.coalesce("component", "id").alias("of"))
     placed = cut_lineage(placed.select("token", "id", "n", "place", "of"))
@@ -327,5 +329,14 @@ def jaccard_components(docs: DataFrame, *, size: int = 3, share: tuple[int, int]
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
+def same_document(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links a, b between a doc_id that has several texts and the classes of each of them."""
+    held = rows.where("n > 0 and doc_id is not null")
+    key = F.struct("sig", "more")
+    several = held.groupBy("doc_id").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least != most")
+    held = held.join(several.select("doc_id"), "doc_id", "left_semi").join(classes, ["sig", "more", "n"])
+    return held.where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct()
+
+
 def as_pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
