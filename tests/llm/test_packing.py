@@ -12,7 +12,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
 TOKENIZER = Tokenizer.from_file(PATH)
-TOKENIZER.encode_special_tokens = True
 
 
 def ids_of(text):

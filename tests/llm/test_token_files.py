@@ -2,11 +2,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from voxloom.llm.common import WordEncoder
 from voxloom.llm.token_files import EliasFano, read_token_files, write_token_files
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +29,17 @@ def test_elias_fano_is_small():
         EliasFano.encode(bounds).select(100_000)
 
 
+@pytest.mark.parametrize("name,space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_special_tokens_are_what_the_plain_call_makes_of_them(name, space):
+    path = public_tokenizers.path(name)
+    found = ["a b", "a <|endoftext|> b", "", "<|endoftext|>", "<|nothing|> x", "A<|ENDOFTEXT|>", "x<|startoftext|>y <|endoftext|><|endoftext|>", "end"]
+    for special in (False, True):
+        plain = Tokenizer.from_file(path)
+        plain.encode_special_tokens = not special
+        got = [ids.tolist() for ids in WordEncoder(path, space, special=special).column(pa.array(found))]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in found]
+
+
 ROWS = [
     (5, "The cat.  sat\n on  <|endoftext|> it's"), (-3, None), (2, ""), (2, "again"), (2, "again"), (None, "lost"),
     (2**62, "wörd " * 3000), (7, " lead and trail "), (8, "\ttab nbsp \n\n x"),
@@ -35,7 +48,6 @@ ROWS = [
 
 def expected(rows):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     start, out = 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], "<u4")

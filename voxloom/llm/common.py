@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 import types
@@ -134,17 +135,41 @@ class WordEncoder:
     LETTERS = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+$"
     MARKS = ".,!?;:*$%&#)"
 
-    def __init__(self, path: str, space: bool, batch_bytes: int = 16 << 20, most: int = 700_000):
+    def __init__(self, path: str, space: bool, batch_bytes: int = 16 << 20, most: int = 700_000, special: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # their strings in a word are ordinary text
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.special = "|".join(re.escape(n) for n in names)
+        self.start = os.path.commonprefix(names)  # a fast search, as hardly any text has it
         self.space, self.batch_bytes, self.most = space, batch_bytes, most
         self.known: dict[str, int] = {}  # words of letters and their pieces in the memo
         self.memo = Pieces()
 
     def column(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of an Arrow string column without nulls."""
+        held = self._with_special(texts)
+        if not held:
+            yield from self._plain_column(texts)
+            return
+        at = 0
+        for k in held:
+            yield from self._plain_column(texts.slice(at, k - at))
+            self.tokenizer.encode_special_tokens = False
+            ids = self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids
+            self.tokenizer.encode_special_tokens = True
+            yield np.array(ids, np.uint32)
+            at = k + 1
+        yield from self._plain_column(texts.slice(at))
+
+    def _with_special(self, texts: pa.Array) -> list[int]:
+        if not self.special:
+            return []
+        near = np.flatnonzero(pc.match_substring(texts, self.start).to_numpy(zero_copy_only=False))
+        return [int(k) for k in near if re.search(self.special, texts[int(k)].as_py())]
+
+    def _plain_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
         if not self.space:  # such a vocabulary is also one of lower-case words, and a line end is a space
             texts = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
@@ -244,4 +269,4 @@ class WordEncoder:
 
 
 def encoder(path: str, space: bool) -> WordEncoder:
-    return worker_memo(f"encoder:{path}", lambda: WordEncoder(path, space))
+    return worker_memo(f"encoder:{path}", lambda: WordEncoder(path, space, special=True))

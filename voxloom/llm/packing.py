@@ -17,6 +17,7 @@ weight, or one that has run out, gives its room to the source with the highest d
 Cases: null and empty texts are documents of the end id alone; a null source is a source of its own;
 repeated rows are packed as often as they occur; an empty table gives no piece; columns other than
 doc_id, text and source are ignored.
+A special token's string in a text becomes that token, as the library's plain call has it.
 """
 
 from __future__ import annotations

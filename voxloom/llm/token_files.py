@@ -13,6 +13,7 @@ folder, so Spark's own commit protocol makes it safe against lost executors and
 Cases: null and empty texts are documents of the end id alone; rows that share a doc_id follow each
 other, ordered by a hash of the text; a null doc_id comes first; an empty table gives an empty file.
 Columns other than doc_id and text are ignored.
+A special token's string in a text becomes that token, as the library's plain call has it.
 """
 
 from __future__ import annotations
