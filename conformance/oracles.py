@@ -505,6 +505,11 @@ SELECT topic_id, topic_name, topic_size, row_number() OVER (PARTITION BY topic_i
         "row_positions": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_position FROM documents",
         "dataset_signature": """WITH d AS (SELECT ('0x' || md5(doc_id || ':' || text)[1:15])::BIGINT AS h FROM documents)
 SELECT md5(concat_ws('-', count(*), sum(h), bit_xor(h), ''))[1:12] AS signature FROM d""",
+        "neighbour_graph": """WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+ranked AS (SELECT l.id, r.id AS other, 1 - list_cosine_similarity(l.v, r.v) AS d,
+  row_number() OVER (PARTITION BY l.id ORDER BY 1 - list_cosine_similarity(l.v, r.v), r.id) AS place
+  FROM v l JOIN v r ON l.id <> r.id)
+SELECT id, place::INTEGER AS place, other, round(d, 6) AS distance FROM ranked WHERE place <= 15""",
         "vector_cache": """SELECT vec_id AS row_id, len(embedding)::INTEGER AS width,
   round(embedding[1]::DOUBLE, 6) AS first_value FROM embeddings""",
         "checkpoint_roundtrip": COMMENTS + " SELECT topic_id, row_id, topic_size FROM comments JOIN sizes USING (topic_id)",

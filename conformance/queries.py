@@ -25,7 +25,9 @@ from voxloom.operators import representatives as R
 from voxloom.operators.arrays import centroids, norm, unit
 from voxloom.operators.embedding import hashed_tfidf, supplied_vectors
 from voxloom.operators.kmeans import kmeans_labels
+from voxloom.operators.layout import layout
 from voxloom.operators.lookup import settled
+from voxloom.operators.neighbours import neighbour_graph
 from voxloom.operators.reduction import reduced
 from voxloom.plans import analysis as AN
 from voxloom.plans import reports as RP
@@ -652,6 +654,26 @@ def reduced_vectors(spark, sf):
     return rows.select("row_id", F.posexplode("vec").alias("component", "value"))
 
 
+def unit_embeddings(spark, sf):
+    given = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    return unit(given)
+
+
+def neighbour_rows(spark, sf):
+    """Fifteen neighbours of every given vector. Exact up to one chunk of vectors, which the SQL twin needs."""
+    points = unit_embeddings(spark, sf)
+    near = neighbour_graph(points, points.count(), 15, SETTINGS.seed)
+    rows = near.select("id", F.posexplode("near").alias("place", "e"))
+    return rows.select("id", (F.col("place") + 1).alias("place"), "e.other", F.round("e.d", 6).alias("distance"))
+
+
+def layout_vectors(spark, sf):
+    """Positions of the given vectors in five dimensions, all components."""
+    points = unit_embeddings(spark, sf).withColumnRenamed("id", "row_id")
+    rows = layout(points, 20, SETTINGS)
+    return rows.select("row_id", F.posexplode("vec").alias("component", "value"))
+
+
 def kmeans_topics(spark, sf):
     given = table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("vec"))
     n = given.count()
@@ -758,6 +780,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_roundtrip": sink_roundtrip,
     "hashed_vectors": hashed_vectors,
     "reduced_vectors": reduced_vectors,
+    "neighbour_graph": neighbour_rows,
+    "layout_vectors": layout_vectors,
     "kmeans_topics": kmeans_topics,
     "discovered_labels": discovered_labels,
     "discovered_topics": discovered_topics,

@@ -12,6 +12,7 @@ from voxloom.functions.params import fallback_k, needs_fallback, size_params
 from voxloom.operators.density import density_cluster
 from voxloom.operators.keywords import ctfidf, topic_table
 from voxloom.operators.kmeans import kmeans_labels
+from voxloom.operators.layout import layout
 from voxloom.operators.lookup import settled
 from voxloom.operators.reduction import reduced
 from voxloom.session import cut_lineage
@@ -45,12 +46,21 @@ def run_params(labels: DataFrame, settings: Settings) -> DataFrame:
     ).select("p.*", "kmeans_fallback", "fallback_k", "noise_rate")
 
 
+def reduced_by(vectors: DataFrame, n: int, neighbours: int, settings: Settings) -> DataFrame:
+    """row_id, vec: few dimensions, by the reducer that the settings name."""
+    if settings.reducer == "umap":
+        return layout(vectors, neighbours, settings)
+    if settings.reducer == "pca":
+        return reduced(vectors, n, settings)
+    raise ValueError(f"no reducer is named {settings.reducer!r}")
+
+
 def discover(comments: DataFrame, vectors: DataFrame, settings: Settings, model: str) -> TopicResult:
     """comments: row_id, cleaned_text. vectors: row_id, vec."""
     started = time.time()
     n = vectors.count()
     sized = comments.sparkSession.range(1).select(size_params(F.lit(n), settings).alias("p")).first()["p"]
-    points = cut_lineage(reduced(vectors, n, settings))
+    points = cut_lineage(reduced_by(vectors, n, sized["neighbors"], settings))
     labels = cut_lineage(
         density_cluster(points, sized["min_cluster_size"], sized["min_samples"], settings)
     )
@@ -61,7 +71,7 @@ def discover(comments: DataFrame, vectors: DataFrame, settings: Settings, model:
         run_params(labels, settings)
         .drop("kmeans_fallback", "fallback_k")
         .select(
-            F.lit("pca").alias("reducer"),
+            F.lit(settings.reducer).alias("reducer"),
             F.lit("kmeans" if row["kmeans_fallback"] else "density").alias("clusterer"),
             F.lit(row["kmeans_fallback"]).alias("kmeans_fallback"),
             "*",

@@ -21,8 +21,8 @@ from voxloom.sources.comments import load_comments, pick_comment_column, spread
 
 # The settings that decide topics, keywords and measures; others do not make saved topics stale.
 DECIDING = (
-    "auto_params", "pca_components", "neighbors", "min_topic_size", "min_samples", "kmeans_min_n",
-    "kmeans_noise", "seed", "kmeans_restarts", "min_df", "ngram_max",
+    "auto_params", "reducer", "layout_components", "layout_min_dist", "pca_components", "neighbors",
+    "min_topic_size", "min_samples", "kmeans_min_n", "kmeans_noise", "seed", "kmeans_restarts", "min_df", "ngram_max",
     "top_keywords", "normalize_stopwords",
 )
 

@@ -18,6 +18,9 @@ class Settings:
 
     # clustering
     auto_params: bool = True
+    reducer: str = "pca"  # or "umap", the non-linear layout
+    layout_components: int = 5
+    layout_min_dist: float = 0.0
     pca_components: int = 5
     neighbors: int = 30
     min_topic_size: int = 50
