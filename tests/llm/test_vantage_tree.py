@@ -10,13 +10,12 @@ def brute(rows, is_query, k):
     rows = [(i, np.array(v, float)) for i, v in rows if i is not None and v and None not in v]
     rows = [(i, v) for i, v in rows if np.isfinite(v).all() and v.any()]
     out = {}
-    for q, x in rows:
+    for place, (q, x) in enumerate(rows):
         if is_query(q):
-            best = out.setdefault(q, {})
-            for i, y in rows:
-                if i != q:
-                    best[i] = min(best.get(i, np.inf), float(np.sqrt(((x - y) ** 2).sum())))
-    return {q: sorted((d, i) for i, d in b.items())[:k] for q, b in out.items() if b}
+            near = [(float(np.sqrt(((x - y) ** 2).sum())), i) for at, (i, y) in enumerate(rows) if at != place]
+            out.setdefault(q, []).append(sorted(near)[:k])
+    # One ranking for each row of an id, all of them in one sorted list.
+    return {q: sorted(pair for best in lists for pair in best) for q, lists in out.items() if any(lists)}
 
 
 def test_query_recall_and_exact_scores(spark):
@@ -40,7 +39,7 @@ def test_factor_one_is_exact_with_ties_and_odd_rows(spark, shard, block):
     rows += [(500, None), (501, []), (502, [0.0] * 4), (503, [1.0, None, 2.0, 3.0]), (504, [float("nan")] * 4), (505, [float("inf"), 1.0, 1.0, 1.0]), (None, [1.0] * 4), (7, [9.0] * 4)]
     table = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, rank int")
     got = {}
-    for r in nearest(table, F.col("vec_id") % 10 == 0, k=5, shard_rows=shard, block_rows=block, leaf=8).orderBy("query_id", "rank").collect():
+    for r in nearest(table, F.col("vec_id") % 10 == 0, k=5, shard_rows=shard, block_rows=block, leaf=8).orderBy("query_id", "score", "vec_id").collect():
         got.setdefault(r.query_id, []).append((r.score, r.vec_id))
     want = brute(rows, lambda i: i % 10 == 0, 5)
     assert got.keys() == want.keys()
@@ -48,6 +47,17 @@ def test_factor_one_is_exact_with_ties_and_odd_rows(spark, shard, block):
         assert [i for _, i in got[q]] == [i for _, i in best] and np.allclose([d for d, _ in got[q]], [d for d, _ in best])
 
 
+def test_rows_of_one_id_are_queries_and_candidates_of_their_own(spark):
+    rows = [(100, [1.0, 0.0]), (100, [2.0, 0.0]), (1, [0.0, 1.0]), (2, [5.0, 0.0]), (2, [5.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted((r.score, r.rank, r.vec_id) for r in nearest(table, F.col("vec_id") == 100).collect() if r.query_id == 100)
+    want = []
+    for place, (_, x) in enumerate(rows[:2]):
+        others = sorted((float(np.hypot(*np.subtract(x, y))), i) for at, (i, y) in enumerate(rows) if at != place)
+        want += [(d, rank, i) for rank, (d, i) in enumerate(others, 1)]
+    assert found == sorted(want)
+
+
 def test_few_rows_and_lengths(spark):
     two = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in nearest(two, F.lit(True)).orderBy("query_id").collect()] == [(0, 1, 1, 2**0.5), (1, 1, 0, 2**0.5)]

@@ -12,8 +12,8 @@ Queries are cut into blocks of bounded size; each shard meets each block once, a
 query, of which the best k are kept.
 
 Cases: vectors that are null, zero or empty, or hold null or non-finite components, take no part; all
-others need one common length (an error says so); a query's own id is no candidate, and rows that share
-an id are one candidate each but count once, by their smallest distance; ties go to the smaller id;
+others need one common length (an error says so); rows that share an id are queries and candidates each of
+their own, and only the query's own row is no candidate; ties go to the smaller id, then to the row;
 fewer than k candidates give fewer rows; other columns are ignored.
 """
 
@@ -31,7 +31,7 @@ from voxloom.llm.common import written
 SHARD_ROWS = 1 << 14
 BLOCK_ROWS = 1 << 14
 LEAF = 128
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_row long, query_id long, row long, vec_id long, score double"
 
 
 class Node:
@@ -42,8 +42,8 @@ class Node:
 
 
 class Tree:
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray, leaf: int = LEAF, seed: int = 7):
-        self.vectors, self.ids, self.leaf = vectors, ids, leaf
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF, seed: int = 7):
+        self.vectors, self.ids, self.numbers, self.leaf = vectors, ids, rows, leaf
         self.squares = np.einsum("ij,ij->i", vectors, vectors)
         self.rng = np.random.default_rng(seed)
         self.root = self._node(np.arange(len(vectors)))
@@ -92,40 +92,38 @@ class Tree:
         near = squares[at][:, None] + self.squares[rows] - 2 * (queries[at] @ self.vectors[rows].T)
         limit = best.limit(at)
         slack = 1e-9 * (squares[at][:, None] + self.squares[rows])
-        q, r = np.nonzero((near <= limit[:, None] ** 2 + slack) & (own[at][:, None] != self.ids[rows]))
+        q, r = np.nonzero((near <= limit[:, None] ** 2 + slack) & (own[at][:, None] != self.numbers[rows]))
         if len(q):
             exact = np.sqrt(((queries[at[q]] - self.vectors[rows[r]]) ** 2).sum(1))
-            best.add(at[q], self.ids[rows[r]], exact)
+            best.add(at[q], self.ids[rows[r]], self.numbers[rows[r]], exact)
 
 
 class Best:
-    """The k nearest so far of each query: smallest distance, then smallest id; an id counts once."""
+    """The k nearest so far of each query: smallest distance, then smallest id, then row."""
 
     def __init__(self, n: int, k: int):
         self.k = k
         self.distances = np.full((n, k), np.inf)
         self.ids = np.full((n, k), np.iinfo(np.int64).max)
+        self.numbers = np.full((n, k), np.iinfo(np.int64).max)
 
     def limit(self, at: np.ndarray) -> np.ndarray:
         return self.distances[at, -1]
 
-    def add(self, at: np.ndarray, ids: np.ndarray, distances: np.ndarray) -> None:
+    def add(self, at: np.ndarray, ids: np.ndarray, numbers: np.ndarray, distances: np.ndarray) -> None:
         touched = np.unique(at)
-        held = np.repeat(touched, self.k)
-        at = np.concatenate([held, at])
+        at = np.concatenate([np.repeat(touched, self.k), at])
         ids = np.concatenate([self.ids[touched].ravel(), ids])
+        numbers = np.concatenate([self.numbers[touched].ravel(), numbers])
         distances = np.concatenate([self.distances[touched].ravel(), distances])
-        order = np.lexsort((distances, ids, at))
-        at, ids, distances = at[order], ids[order], distances[order]
-        again = (np.diff(at, prepend=-1) == 0) & (np.diff(ids, prepend=-1) == 0) & np.isfinite(distances)
-        at, ids, distances = at[~again], ids[~again], distances[~again]
-        order = np.lexsort((ids, distances, at))
-        at, ids, distances = at[order], ids[order], distances[order]
+        order = np.lexsort((numbers, ids, distances, at))
+        at, ids, numbers, distances = at[order], ids[order], numbers[order], distances[order]
         starts = np.flatnonzero(np.diff(at, prepend=-1))
         rank = np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))
         kept = rank < self.k
         self.distances[at[kept], rank[kept]] = distances[kept]
         self.ids[at[kept], rank[kept]] = ids[kept]
+        self.numbers[at[kept], rank[kept]] = numbers[kept]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -141,29 +139,32 @@ def nearest(
     block_rows: int = BLOCK_ROWS, leaf: int = LEAF,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row for which ``is_query`` holds."""
-    rows = written(usable(vectors), "vantage-vectors")
+    rows = written(usable(vectors).withColumn("row", F.monotonically_increasing_id()), "vantage-vectors")
     seen = rows.agg(F.count(F.lit(1)), F.min(F.size("vec")), F.max(F.size("vec")), F.count_if(is_query)).first()
     if seen[1] != seen[2]:
         raise ValueError(f"vectors have {seen[1]} to {seen[2]} components")
     shards, blocks = max(1, math.ceil(seen[0] / shard_rows)), max(1, math.ceil(seen[3] / block_rows))
     deal = F.xxhash64("vec_id", "vec")  # rows of one id, or equal vectors, are spread too
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    candidates = rows.select("vec_id", "vec", F.pmod(deal, F.lit(shards)).cast("int").alias("shard"), every)
-    queries = rows.where(is_query).select("vec_id", "vec", F.pmod(deal, F.lit(blocks)).cast("int").alias("block"))
+    candidates = rows.select("row", "vec_id", "vec", F.pmod(deal, F.lit(shards)).cast("int").alias("shard"), every)
+    queries = rows.where(is_query).select("row", "vec_id", "vec", F.pmod(deal, F.lit(blocks)).cast("int").alias("block"))
     to = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    queries = queries.select("vec_id", "vec", to, "block")
+    queries = queries.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("vec").alias("asked"), to, "block")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        left, right = left.sort_values("vec_id"), right.sort_values("vec_id")
-        tree = Tree(np.stack(left["vec"].to_numpy()), left["vec_id"].to_numpy(), leaf)
-        own = right["vec_id"].to_numpy()
-        best = tree.search(np.stack(right["vec"].to_numpy()), own, k, factor)
+            return pd.DataFrame({c: np.zeros(0, "float64" if c == "score" else "int64") for c in ("query_row", "query_id", "row", "vec_id", "score")})
+        left, right = left.sort_values(["vec_id", "row"]), right.sort_values(["query_id", "query_row"])
+        tree = Tree(np.stack(left["vec"].to_numpy()), left["vec_id"].to_numpy(), left["row"].to_numpy(), leaf)
+        own = right["query_row"].to_numpy()
+        best = tree.search(np.stack(right["asked"].to_numpy()), own, k, factor)
         found = np.isfinite(best.distances)
-        return pd.DataFrame({"query_id": np.repeat(own, found.sum(1)), "vec_id": best.ids[found], "score": best.distances[found]})
+        times = found.sum(1)
+        return pd.DataFrame({
+            "query_row": np.repeat(own, times), "query_id": np.repeat(right["query_id"].to_numpy(), times),
+            "row": best.numbers[found], "vec_id": best.ids[found], "score": best.distances[found],
+        })
 
     parts = candidates.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInPandas(search, FOUND)
-    parts = parts.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")).alias("rank")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy("score", "vec_id", "row")).alias("rank")
     return parts.select("query_id", rank, "vec_id", "score").where(F.col("rank") <= k)
