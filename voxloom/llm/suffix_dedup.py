@@ -1,8 +1,8 @@
-"""Removal of long byte strings that occur more than once, by distributed prefix doubling.
+"""Removal of long byte strings that occur more than once, by names at chosen positions.
 
-A position is named by the string of ``h`` bytes that starts there; two halves of known names name a
-string of twice the length. Positions whose name is unique are settled (no longer string from there is
-repeated) and drop out, until the names reach the threshold. Only equality matters here, not order, so
+This is not prefix doubling: nothing is sorted or reranked at growing offsets. A position is named by the
+string of ``h`` bytes that starts there, for two lengths only. Positions whose name is unique are settled
+(no longer string from there is repeated) and drop out. Only equality matters here, not order, so
 a name is a fingerprint of the string, the same wherever it is made, and Spark brings equal names
 together by a shuffle. What is removed is decided by 96 bits of BLAKE2 over the strings themselves; the
 fast fingerprints that choose positions only find candidates.
