@@ -26,13 +26,13 @@ from voxloom.operators.arrays import centroids, norm, unit
 from voxloom.operators.embedding import hashed_tfidf, supplied_vectors
 from voxloom.operators.kmeans import kmeans_labels
 from voxloom.operators.layout import layout
-from voxloom.operators.lookup import settled
+from voxloom.operators.lookup import labelled_texts, settled
 from voxloom.operators.neighbours import neighbour_graph
 from voxloom.operators.reduction import reduced
 from voxloom.plans import analysis as AN
 from voxloom.plans import reports as RP
 from voxloom.plans.discovery import discover
-from voxloom.session import scratch_path
+from voxloom.session import scratch_path, stored
 from voxloom.settings import Settings
 from voxloom.sources import sinks, state
 from voxloom.sources.comments import load_comments, spread, with_position
@@ -69,29 +69,40 @@ def labels(spark, sf):
 
 
 def kept(spark, sf):
-    """row_id, original_comment, cleaned_text: cleaned once, whatever a query does with it later."""
+    """row_id, original_comment, cleaned_text, for a query that reads the texts once: no column it leaves out is moved or held."""
     rows = C.kept_rows(documents(spark, sf), "text", "doc_id")
-    return settled(rows.withColumnRenamed("original_row_index", "row_id"))
+    return rows.withColumnRenamed("original_row_index", "row_id")
 
 
-def cleaned(spark, sf):
-    rows = kept(spark, sf).withColumnRenamed("row_id", "original_row_index")
-    return C.with_frequency(rows).withColumnRenamed("original_row_index", "row_id")
+def kept_once(spark, sf):
+    """The same rows cleaned once and written, for a query that reads them several times, each time only the columns it needs."""
+    return stored(kept(spark, sf), "kept")
 
 
-def comments(spark, sf):
+def kept_ids(spark, sf):
+    """Only row_id, for what goes over the kept rows several times and reads no text."""
+    return settled(kept(spark, sf).select("row_id"))
+
+
+def cleaned(spark, sf, rows=None):
+    rows = kept_once(spark, sf) if rows is None else rows
+    counted = C.with_frequency(rows.withColumnRenamed("row_id", "original_row_index"))
+    return counted.withColumnRenamed("original_row_index", "row_id")
+
+
+def comments(spark, sf, rows=None):
     """row_id, original_comment, cleaned_text, frequency, lang, topic_id."""
-    return cleaned(spark, sf).join(labels(spark, sf), "row_id")
+    return cleaned(spark, sf, rows).join(labels(spark, sf), "row_id")
 
 
-def topic_texts(spark, sf):
+def topic_texts(spark, sf, rows=None):
     """The comments without their frequency, for what does not need it."""
-    return kept(spark, sf).join(labels(spark, sf), "row_id")
+    return (kept(spark, sf) if rows is None else rows).join(labels(spark, sf), "row_id")
 
 
-def members(spark, sf):
+def members(spark, sf, rows=None):
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("vec"))
-    return topic_texts(spark, sf).join(vectors, "row_id")
+    return topic_texts(spark, sf, rows).join(vectors, "row_id")
 
 
 def supplied_members(spark, sf):
@@ -102,20 +113,28 @@ def supplied_members(spark, sf):
     return rows.select("row_id", F.posexplode("vec").alias("place", "value")).withColumn("value", F.round("value", 6))
 
 
+def counted_texts(spark, sf, rows=None):
+    """The comments with their topics, dealt for counting their words."""
+    rows = kept_once(spark, sf) if rows is None else rows
+    return labelled_texts(rows, labels(spark, sf))
+
+
 def counts(spark, sf):
-    return KW.topic_term_counts(topic_texts(spark, sf), SETTINGS)
+    return KW.topic_term_counts(counted_texts(spark, sf), SETTINGS)
 
 
-def keywords(spark, sf):
-    return KW.ctfidf(topic_texts(spark, sf), SETTINGS)
+def keywords(spark, sf, rows=None):
+    return KW.ctfidf(counted_texts(spark, sf, rows), SETTINGS)
 
 
-def topics(spark, sf, words=None):
-    return settled(KW.topic_table(topic_texts(spark, sf), SETTINGS, words))
+def topics(spark, sf, words=None, rows=None):
+    rows = kept_once(spark, sf) if rows is None else rows
+    texts = counted_texts(spark, sf, rows) if words is None else topic_texts(spark, sf, rows)
+    return settled(KW.topic_table(texts, SETTINGS, words))
 
 
-def described(spark, sf, words=None):
-    return RP.described_topics(topics(spark, sf, words))
+def described(spark, sf, words=None, rows=None):
+    return RP.described_topics(topics(spark, sf, words, rows))
 
 
 # ---- sources and text rules ---------------------------------------------------------------------------
@@ -258,7 +277,7 @@ def topic_centroids(spark, sf):
 
 
 def centroid_similarity(spark, sf):
-    return R.similarity(members(spark, sf), SETTINGS).select("row_id", "topic_id", F.round("sim", 6).alias("sim"))
+    return R.similarity(members(spark, sf, kept_ids(spark, sf)), SETTINGS).select("row_id", "topic_id", F.round("sim", 6).alias("sim"))
 
 
 def nearest_topic(spark, sf):
@@ -269,7 +288,7 @@ def nearest_topic(spark, sf):
 def representatives(k, flag=None):
     def query(spark, sf):
         mark = None if flag is None else F.expr(flag)
-        chosen = R.representatives(members(spark, sf), SETTINGS, k, mark)
+        chosen = R.representatives(members(spark, sf, kept_once(spark, sf)), SETTINGS, k, mark)
         return chosen.select("topic_id", "rank", "row_id", F.round("sim", 6).alias("sim"), "original_comment")
 
     return query
@@ -296,34 +315,38 @@ def topic_balance(spark, sf):
 
 
 def keyword_document_frequency(spark, sf):
-    chosen = settled(keywords(spark, sf))
-    freq = M.document_frequency(M.keyword_sets(topic_texts(spark, sf), chosen, SETTINGS), SETTINGS)
+    rows = kept_once(spark, sf)
+    chosen = settled(keywords(spark, sf, rows))
+    freq = M.document_frequency(M.keyword_sets(topic_texts(spark, sf, rows), chosen, SETTINGS), SETTINGS)
     return chosen.join(freq, ["topic_id", "rank"]).select("topic_id", "rank", "term", "doc_freq")
 
 
 def npmi_pairs(spark, sf):
-    pairs = M.npmi_pairs(topic_texts(spark, sf), settled(keywords(spark, sf)), SETTINGS)
+    rows = kept_once(spark, sf)
+    pairs = M.npmi_pairs(topic_texts(spark, sf, rows), settled(keywords(spark, sf, rows)), SETTINGS)
     return pairs.withColumn("npmi", F.round("npmi", 6))
 
 
 def npmi(spark, sf):
-    value = M.npmi_coherence(topic_texts(spark, sf), settled(keywords(spark, sf)), SETTINGS)
+    rows = kept_once(spark, sf)
+    value = M.npmi_coherence(topic_texts(spark, sf, rows), settled(keywords(spark, sf, rows)), SETTINGS)
     return value.select(F.round("npmi_coherence", 6).alias("npmi_coherence"))
 
 
 def silhouette_rows(spark, sf):
-    return M.silhouette_rows(members(spark, sf), SETTINGS).withColumn("silhouette", F.round("silhouette", 6))
+    return M.silhouette_rows(members(spark, sf, kept_ids(spark, sf)), SETTINGS).withColumn("silhouette", F.round("silhouette", 6))
 
 
 def silhouette_cosine(spark, sf):
-    return M.silhouette(members(spark, sf), SETTINGS).select(F.round("silhouette", 6).alias("silhouette"))
+    return M.silhouette(members(spark, sf, kept_ids(spark, sf)), SETTINGS).select(F.round("silhouette", 6).alias("silhouette"))
 
 
-def run_metrics(spark, sf, words=None):
+def run_metrics(spark, sf, words=None, rows=None):
+    rows = kept_once(spark, sf) if rows is None else rows
     return M.metrics_row(
-        topic_texts(spark, sf),
-        members(spark, sf),
-        settled(keywords(spark, sf) if words is None else words),
+        topic_texts(spark, sf, rows),
+        members(spark, sf, rows),
+        settled(keywords(spark, sf, rows) if words is None else words),
         SETTINGS,
         engine="given",
         model="minilm",
@@ -356,9 +379,9 @@ def size_parameters(spark, sf):
     ).select("grp", "p.*", "needs_fallback", "fallback_k", "rep_count")
 
 
-def given_params(spark, sf):
+def given_params(spark, sf, rows=None):
     """The one-row run parameters the key/value reports read, for the given topics."""
-    figures = M.share_figures(topic_sizes(spark, sf))
+    figures = M.share_figures(M.topic_sizes(topic_texts(spark, sf, rows)))
     return figures.select(P.size_params(F.col("n"), SETTINGS).alias("p")).select(
         F.lit("pca").alias("reducer"),
         F.lit("given").alias("clusterer"),
@@ -369,19 +392,22 @@ def given_params(spark, sf):
 
 # ---- report tables --------------------------------------------------------------------------------------------
 def feedback_with_topics(spark, sf):
-    return RP.feedback_with_topics(comments(spark, sf), described(spark, sf), SETTINGS)
+    rows = kept_once(spark, sf)
+    return RP.feedback_with_topics(comments(spark, sf, rows), described(spark, sf, rows=rows), SETTINGS)
 
 
-def adaptive_samples(spark, sf):
-    return settled(R.representatives(members(spark, sf), SETTINGS))
+def adaptive_samples(spark, sf, rows):
+    return settled(R.representatives(members(spark, sf, rows), SETTINGS))
 
 
 def topic_summary(spark, sf):
-    return RP.topic_summary(described(spark, sf), R.packed_samples(adaptive_samples(spark, sf)))
+    rows = kept_once(spark, sf)
+    return RP.topic_summary(described(spark, sf, rows=rows), R.packed_samples(adaptive_samples(spark, sf, rows)))
 
 
 def topic_samples(spark, sf):
-    return RP.topic_samples(described(spark, sf), adaptive_samples(spark, sf), SETTINGS)
+    rows = kept_once(spark, sf)
+    return RP.topic_samples(described(spark, sf, rows=rows), adaptive_samples(spark, sf, rows), SETTINGS)
 
 
 def noise_comments(spark, sf):
@@ -389,7 +415,8 @@ def noise_comments(spark, sf):
 
 
 def quality_check(spark, sf):
-    return Q.quality_check(topics(spark, sf), members(spark, sf), SETTINGS)
+    rows = kept_once(spark, sf)
+    return Q.quality_check(topics(spark, sf, rows=rows), members(spark, sf, rows), SETTINGS)
 
 
 def largest_topics(spark, sf):
@@ -397,26 +424,29 @@ def largest_topics(spark, sf):
 
 
 def overview(spark, sf):
-    words = settled(keywords(spark, sf))
+    rows = kept_once(spark, sf)
+    words = settled(keywords(spark, sf, rows))
     return RP.overview(
-        described(spark, sf, words),
-        run_metrics(spark, sf, words),
+        described(spark, sf, words, rows),
+        run_metrics(spark, sf, words, rows),
         C.cleaning_stats(documents(spark, sf), "text", "doc_id"),
-        given_params(spark, sf),
+        given_params(spark, sf, rows),
     )
 
 
 def settings_table(spark, sf):
+    rows = kept_once(spark, sf)
     return RP.settings_table(
-        run_metrics(spark, sf),
+        run_metrics(spark, sf, rows=rows),
         C.cleaning_stats(documents(spark, sf), "text", "doc_id"),
-        given_params(spark, sf),
+        given_params(spark, sf, rows),
         SETTINGS,
     )
 
 
 def validation_preview(spark, sf):
-    return RP.validation_preview(topic_texts(spark, sf), described(spark, sf), SETTINGS)
+    rows = kept_once(spark, sf)
+    return RP.validation_preview(topic_texts(spark, sf, rows), described(spark, sf, rows=rows), SETTINGS)
 
 
 def chart(make):
@@ -430,10 +460,11 @@ def chart(make):
 
 
 # ---- analysis per topic ---------------------------------------------------------------------------------------
-def payloads(spark, sf, given=None):
-    samples = R.packed_samples(R.representatives(members(spark, sf), SETTINGS, SETTINGS.samples_per_topic))
-    found = topics(spark, sf) if given is None else given
-    return settled(AN.topic_payloads(found, comments(spark, sf), samples, SETTINGS))
+def payloads(spark, sf, given=None, rows=None):
+    rows = kept_once(spark, sf) if rows is None else rows
+    samples = R.packed_samples(R.representatives(members(spark, sf, rows), SETTINGS, SETTINGS.samples_per_topic))
+    found = topics(spark, sf, rows=rows) if given is None else given
+    return settled(AN.topic_payloads(found, comments(spark, sf, rows), samples, SETTINGS))
 
 
 def topic_payload(spark, sf):
@@ -529,8 +560,8 @@ def flat_output(outputs):
     return outputs.withColumn("recommended_actions", F.array_join("recommended_actions", " | "))
 
 
-def staged_outputs(spark, sf, given=None):
-    asked = payloads(spark, sf, given)
+def staged_outputs(spark, sf, given=None, rows=None):
+    asked = payloads(spark, sf, given, rows)
     return AN.analysed(asked, AN.answers_from_table(topic_answers(asked)), SETTINGS)
 
 
@@ -546,9 +577,10 @@ def naming_resume(spark, sf):
     return flat_output(AN.resumed(asked, earlier, answer, SETTINGS))
 
 
-def named_topics(spark, sf):
-    given = topics(spark, sf)
-    attributes = AN.topic_attributes(staged_outputs(spark, sf, given))
+def named_topics(spark, sf, rows=None):
+    rows = kept_once(spark, sf) if rows is None else rows
+    given = topics(spark, sf, rows=rows)
+    attributes = AN.topic_attributes(staged_outputs(spark, sf, given, rows))
     return RP.described_topics(given, attributes)
 
 
@@ -557,11 +589,13 @@ def exec_prompt(spark, sf):
 
 
 def topic_summary_named(spark, sf):
-    return RP.topic_summary(named_topics(spark, sf), R.packed_samples(adaptive_samples(spark, sf)))
+    rows = kept_once(spark, sf)
+    return RP.topic_summary(named_topics(spark, sf, rows), R.packed_samples(adaptive_samples(spark, sf, rows)))
 
 
 def feedback_named(spark, sf):
-    return RP.feedback_with_topics(comments(spark, sf), named_topics(spark, sf), SETTINGS)
+    rows = kept_once(spark, sf)
+    return RP.feedback_with_topics(comments(spark, sf, rows), named_topics(spark, sf, rows), SETTINGS)
 
 
 # ---- sources, state and topic discovery -----------------------------------------------------------------
@@ -614,13 +648,14 @@ def checkpoint_roundtrip(spark, sf):
     """Topics saved and loaded by signature; another signature finds nothing."""
     folder = scratch_path(spark, "state")
     stats = C.cleaning_stats(documents(spark, sf), "text", "doc_id")
-    words = settled(keywords(spark, sf))
+    rows = kept_once(spark, sf)
+    words = settled(keywords(spark, sf, rows))
     tables = {
-        "labels": topic_texts(spark, sf).select("row_id", "topic_id"),
+        "labels": topic_texts(spark, sf, rows).select("row_id", "topic_id"),
         "keywords": words,
-        "topics": topics(spark, sf, words),
-        "params": given_params(spark, sf),
-        "metrics": M.share_figures(topic_sizes(spark, sf)),
+        "topics": topics(spark, sf, words, rows),
+        "params": given_params(spark, sf, rows),
+        "metrics": M.share_figures(M.topic_sizes(topic_texts(spark, sf, rows))),
         "stats": stats,
     }
     state.save_result(tables, folder, "now")
@@ -643,7 +678,7 @@ def sink_roundtrip(spark, sf):
 
 
 def hashed_vectors(spark, sf):
-    rows = hashed_tfidf(kept(spark, sf), SETTINGS)
+    rows = hashed_tfidf(kept_once(spark, sf), SETTINGS)
     return rows.select("row_id", F.size("vec").alias("width"), F.round(norm(F.col("vec")), 4).alias("length"))
 
 
@@ -682,7 +717,7 @@ def kmeans_topics(spark, sf):
 
 
 def discovery(spark, sf):
-    rows = kept(spark, sf).select("row_id", "cleaned_text")
+    rows = kept_once(spark, sf).select("row_id", "cleaned_text")
     vectors = settled(hashed_tfidf(rows, SETTINGS))
     return discover(rows, vectors, SETTINGS, "hashed")
 

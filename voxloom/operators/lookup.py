@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.settings import Settings
 
+TEXT_BYTES = 16 * 1024 * 1024  # text meant for one partition where words are counted
+
 
 def settled(df: DataFrame) -> DataFrame:
     """Keep a topic-level table once computed; lost parts are computed again from their lineage."""
@@ -45,3 +49,14 @@ def attach(
         .join(salted, [*keys, "_salt"], how)
         .drop("_salt")
     )
+
+
+def labelled_texts(texts: DataFrame, labels: DataFrame, key: str = "row_id", text: str = "cleaned_text") -> DataFrame:
+    """``texts`` inner join ``labels`` by ``key``, in partitions of about TEXT_BYTES of text.
+
+    Their number grows with the table, measured by one aggregate, so what a task holds to count the words
+    behind the join does not. Both sides are dealt alike, and the texts move once.
+    """
+    size = texts.agg(F.sum(F.octet_length(text)).alias("bytes")).first()["bytes"] or 0
+    parts = max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TEXT_BYTES))
+    return texts.repartition(parts, key).join(labels.repartition(parts, key), key)

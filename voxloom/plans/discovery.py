@@ -13,7 +13,7 @@ from voxloom.operators.density import density_cluster
 from voxloom.operators.keywords import ctfidf, topic_table
 from voxloom.operators.kmeans import kmeans_labels
 from voxloom.operators.layout import layout
-from voxloom.operators.lookup import settled
+from voxloom.operators.lookup import labelled_texts, settled
 from voxloom.operators.reduction import reduced
 from voxloom.session import cut_lineage
 from voxloom.settings import Settings
@@ -79,7 +79,7 @@ def discover(comments: DataFrame, vectors: DataFrame, settings: Settings, model:
         .withColumn("noise_pct", F.round("noise_rate", 4))
         .drop("noise_rate")
     )
-    labelled = comments.join(labels, "row_id")
+    labelled = labelled_texts(comments, labels)
     keywords = settled(ctfidf(labelled, settings))
     topics = settled(topic_table(labelled, settings, keywords))
     topics.count()
