@@ -105,6 +105,11 @@ def members(spark, sf, rows=None):
     return topic_texts(spark, sf, rows).join(vectors, "row_id")
 
 
+def narrowed_members(spark, sf, rows):
+    """The members of few row_ids: the other texts are left out before the joins, which would move them."""
+    return lambda ids: members(spark, sf, rows.join(ids, "row_id", "left_semi"))
+
+
 def supplied_members(spark, sf):
     vectors = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("row_id"), F.transform("embedding", lambda x: x.cast("double") * 3).alias("vec")
@@ -288,7 +293,8 @@ def nearest_topic(spark, sf):
 def representatives(k, flag=None):
     def query(spark, sf):
         mark = None if flag is None else F.expr(flag)
-        chosen = R.representatives(members(spark, sf, kept_once(spark, sf)), SETTINGS, k, mark)
+        rows = kept_once(spark, sf)
+        chosen = R.representatives(members(spark, sf, rows), SETTINGS, k, mark, narrowed_members(spark, sf, rows))
         return chosen.select("topic_id", "rank", "row_id", F.round("sim", 6).alias("sim"), "original_comment")
 
     return query
@@ -397,7 +403,7 @@ def feedback_with_topics(spark, sf):
 
 
 def adaptive_samples(spark, sf, rows):
-    return settled(R.representatives(members(spark, sf, rows), SETTINGS))
+    return settled(R.representatives(members(spark, sf, rows), SETTINGS, narrowed=narrowed_members(spark, sf, rows)))
 
 
 def topic_summary(spark, sf):
@@ -462,7 +468,8 @@ def chart(make):
 # ---- analysis per topic ---------------------------------------------------------------------------------------
 def payloads(spark, sf, given=None, rows=None):
     rows = kept_once(spark, sf) if rows is None else rows
-    samples = R.packed_samples(R.representatives(members(spark, sf, rows), SETTINGS, SETTINGS.samples_per_topic))
+    narrowed = narrowed_members(spark, sf, rows)
+    samples = R.packed_samples(R.representatives(members(spark, sf, rows), SETTINGS, SETTINGS.samples_per_topic, narrowed=narrowed))
     found = topics(spark, sf, rows=rows) if given is None else given
     return settled(AN.topic_payloads(found, comments(spark, sf, rows), samples, SETTINGS))
 

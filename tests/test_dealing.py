@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from conformance import queries as Q
 from voxloom.operators import lookup
-from voxloom.operators.keywords import topic_term_counts
+from voxloom.operators import representatives as R
+from voxloom.operators.keywords import topic_term_counts, vocabulary
 from voxloom.settings import Settings
 
 
@@ -38,6 +39,34 @@ def test_texts_are_dealt_by_their_bytes(spark, monkeypatch):
     assert got == {(t, w): (100, 100) for t in (0, 1) for w in ("blue", "letters", "blue letters")}
 
 
+def test_counted_grams_move_once_and_by_term(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "TEXT_BYTES", 100)
+    texts = spark.range(200).select(F.col("id").alias("row_id"), F.lit("blue letters").alias("cleaned_text"))
+    labels = spark.range(200).select(F.col("id").alias("row_id"), (F.col("id") % 2).cast("int").alias("topic_id"))
+    counts = topic_term_counts(lookup.labelled_texts(texts, labels), Settings())
+    per_term = vocabulary(counts, Settings())
+    plan = per_term._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(term") == 1 and "Exchange hashpartitioning(topic_id" not in plan
+    assert "hashpartitioning(term" in plan and ", 24)" in plan  # as many partitions as deals
+    got = {(r.topic_id, r.term): (r.cnt, r.docs, r.doc_freq) for r in per_term.collect()}
+    assert got == {(t, w): (100, 100, 200) for t in (0, 1) for w in ("blue", "letters", "blue letters")}
+
+
+def test_only_chosen_originals_are_joined(spark, tmp_path):
+    sf = tables(spark, tmp_path)
+    rows = Q.kept_once(spark, sf)
+    asked = []
+
+    def narrowed(ids):
+        asked.append(sorted(r.row_id for r in ids.collect()))
+        return Q.narrowed_members(spark, sf, rows)(ids)
+
+    members = Q.members(spark, sf, rows)
+    plain = R.representatives(members, Settings(), 1).sort("topic_id").collect()
+    assert R.representatives(members, Settings(), 1, narrowed=narrowed).sort("topic_id").collect() == plain
+    assert asked == [sorted(r.row_id for r in plain)] and len(plain) == 3
+
+
 def test_texts_read_several_times_are_written(spark, tmp_path):
     sf = tables(spark, tmp_path)
     rows = Q.kept_once(spark, sf)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import tokens as K
 from voxloom.functions.stopwords import stop_words
-from voxloom.operators.lookup import settled
+from voxloom.operators.lookup import DEAL, settled
 from voxloom.settings import Settings
 
 
@@ -26,17 +26,25 @@ def topic_term_counts(comments: DataFrame, settings: Settings) -> DataFrame:
 
     A comment's sorted grams stand next to their predecessors, so a gram that differs from the one
     before it is the first of its kind in the comment. Both counts come out of the row itself; the only
-    shuffle is that of the combined (topic, term) counts.
+    shuffle is that of the combined (topic, term) counts. Those of dealt comments (``labelled_texts``) are
+    combined within the deal and move by term, so what is asked per term afterwards moves them no more.
     """
-    in_order = gram_rows(comments, settings).select("topic_id", F.sort_array("grams").alias("term"))
+    dealt = [c for c in (DEAL,) if c in comments.columns]
+    in_order = gram_rows(comments, settings).select(*dealt, "topic_id", F.sort_array("grams").alias("term"))
     before = F.concat(F.array(F.lit("")), F.col("term")).alias("before")
-    pairs = in_order.select("topic_id", "term", before).select(
-        "topic_id", F.explode(F.arrays_zip("term", "before")).alias("g")
+    pairs = in_order.select(*dealt, "topic_id", "term", before).select(
+        *dealt, "topic_id", F.explode(F.arrays_zip("term", "before")).alias("g")
     )
-    pairs = pairs.select("topic_id", "g.term", "g.before").filter("term is not null")
-    return pairs.groupBy("topic_id", "term").agg(
+    pairs = pairs.select(*dealt, "topic_id", "g.term", "g.before").filter("term is not null")
+    counts = pairs.groupBy(*dealt, "topic_id", "term").agg(
         F.count("*").alias("cnt"), F.count(F.when(F.col("term") != F.col("before"), 1)).alias("docs")
     )
+    if not dealt:
+        return counts
+    parts = comments.schema[DEAL].metadata["parts"]
+    return counts.drop(DEAL).repartition(parts, "term").groupBy("topic_id", "term").agg(
+        F.sum("cnt").alias("cnt"), F.sum("docs").alias("docs")
+    )
 
 
 def term_totals(counts: DataFrame) -> DataFrame:

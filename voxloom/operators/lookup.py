@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from voxloom.settings import Settings
 
 TEXT_BYTES = 16 * 1024 * 1024  # text meant for one partition where words are counted
+DEAL = "_deal"  # the partition that a row was dealt to
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -52,11 +53,14 @@ def attach(
 
 
 def labelled_texts(texts: DataFrame, labels: DataFrame, key: str = "row_id", text: str = "cleaned_text") -> DataFrame:
-    """``texts`` inner join ``labels`` by ``key``, in partitions of about TEXT_BYTES of text.
+    """``texts`` inner join ``labels`` by ``key``, in partitions of about TEXT_BYTES of text, plus DEAL, their number.
 
-    Their number grows with the table, measured by one aggregate, so what a task holds to count the words
-    behind the join does not. Both sides are dealt alike, and the texts move once.
+    There are more of them for a larger table, measured by one aggregate, so what a task holds to count the
+    words behind the join does not grow. Both sides are dealt alike, and the texts move once. As DEAL names the
+    partition, rows grouped by it and other columns are combined where they are; its metadata has their number.
     """
     size = texts.agg(F.sum(F.octet_length(text)).alias("bytes")).first()["bytes"] or 0
     parts = max(texts.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TEXT_BYTES))
-    return texts.repartition(parts, key).join(labels.repartition(parts, key), key)
+    deal = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    put = lambda rows: rows.withColumn(DEAL, deal.alias(DEAL, metadata={"parts": parts})).repartitionById(parts, DEAL)
+    return put(texts).join(put(labels), [DEAL, key])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,14 +81,17 @@ def rep_count(size: Column, settings: Settings) -> Column:
     return F.least(top, F.greatest(F.lit(settings.rep_comments_min), F.least(size, top))).cast("int")
 
 
-def with_originals(chosen: DataFrame, comments: DataFrame, settings: Settings) -> DataFrame:
+def with_originals(
+    chosen: DataFrame, comments: DataFrame, settings: Settings, narrowed: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """chosen plus original_comment. The chosen rows are few per topic; comments stay where they are
-    as long as the chosen ones fit a broadcast."""
+    as long as the chosen ones fit a broadcast. ``narrowed`` then makes the comments anew for the row_ids of
+    a small table, so that a join behind them moves no other texts."""
     chosen = settled(chosen)
-    texts = comments.select("row_id", "original_comment")
     if measured_bytes(chosen) <= settings.broadcast_bytes:
-        return texts.join(F.broadcast(chosen), "row_id")
-    return texts.join(chosen, "row_id")
+        comments = comments if narrowed is None else narrowed(F.broadcast(chosen.select("row_id")))
+        return comments.select("row_id", "original_comment").join(F.broadcast(chosen), "row_id")
+    return comments.select("row_id", "original_comment").join(chosen, "row_id")
 
 
 def packed_samples(with_text: DataFrame) -> DataFrame:
@@ -98,13 +103,14 @@ def packed_samples(with_text: DataFrame) -> DataFrame:
 
 
 def representatives(
-    members: DataFrame, settings: Settings, k: int | None = None, flag: Column | None = None
+    members: DataFrame, settings: Settings, k: int | None = None, flag: Column | None = None,
+    narrowed: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """topic_id, rank, row_id, sim, flag, original_comment; ``k`` None adapts it to the topic size."""
     k_max = settings.rep_comments_max if k is None else k
     found = candidates(members, settings, k_max, flag)
     chosen = picks(found, rep_count(F.col("topic_n"), settings) if k is None else k)
-    return with_originals(chosen, members, settings)
+    return with_originals(chosen, members, settings, narrowed)
 
 
 def first_rows(comments: DataFrame, k: int) -> DataFrame:
