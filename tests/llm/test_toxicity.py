@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 
 from voxloom.llm.queries import op4_toxicity
-from voxloom.llm.toxicity import fit, twins, with_toxicity, words
+from voxloom.llm.toxicity import fit, telling, twins, with_toxicity, words
 
 GROUPS = (("muslim", "christian", "jewish"),)
 
@@ -54,3 +54,10 @@ def test_odd_rows_and_no_labels(spark):
     assert [r.t for r in rows] == [0.5] * 3 and [r.toxic for r in rows] == [1, 2, 3]
     twice = spark.createDataFrame([(1, 1), (1, 0), (1, 1)], "doc_id long, toxic int")
     assert with_toxicity(docs.limit(0), twice, "t").count() == 0 and with_toxicity(docs, twice, "t").count() == 3
+
+
+def test_telling_words_are_kept_without_a_join(spark, monkeypatch):
+    data = [(1, 1, ["bad", "the"]), (2, 1, ["bad", "the"]), (3, 0, ["fine", "the"]), (4, 0, ["muslim", "the"]), (5, 0, [])]
+    rows = spark.createDataFrame(data, "row long, toxic int, words array<string>")
+    monkeypatch.setattr(type(rows), "join", None)
+    assert telling(rows, GROUPS, 3.0) == ([{"bad"}, {"bad"}, set(), {"muslim"}, set()], [1, 1, 0, 0, 0])

@@ -154,9 +154,17 @@ def telling(rows: DataFrame, groups: Sequence[Sequence[str]], min_chi2: float) -
     spread = base * (1 - base) or 1.0
     chi2 = F.col("n") * F.pow(F.col("toxic") / F.col("n") - base, 2) / spread * n / F.greatest(F.lit(n) - F.col("n"), F.lit(1))
     kept = counts.where((chi2 >= min_chi2) | F.col("word").isin(sorted(traces(groups)))).select("word")
-    found = each.join(kept, "word").groupBy("row").agg(F.collect_list("word").alias("kept"))  # a text's own words at most
-    held = rows.select("row", "toxic").join(found, "row", "left").orderBy("row").toArrow()  # bounded by sample_rows
-    return [set(w or ()) for w in held["kept"].to_pylist()], held["toxic"].to_pylist()
+    # Each of them once: no more than the texts have, whose words the driver gets below.
+    sent = rows.sparkSession.sparkContext.broadcast(set(kept.toArrow()["word"].to_pylist()))
+
+    def keep(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            made = [[w for w in words if w in sent.value] for words in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.string()))], ["row", "toxic", "words"])
+
+    held = rows.select("row", "toxic", "words").mapInArrow(keep, "row long, toxic int, words array<string>")
+    held = held.orderBy("row").toArrow()  # bounded by sample_rows
+    return [set(w) for w in held["words"].to_pylist()], held["toxic"].to_pylist()
 
 
 def with_toxicity(
