@@ -95,6 +95,13 @@ def test_memberships_add_up_and_unite(spark):
     assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-6 for p in want)
 
 
+def test_only_positions_of_other_blocks_travel(spark):
+    blocks = spark.createDataFrame([(0, [0.0], 7), (1, [1.0], 7), (2, [2.0], 8)], "id long, vec array<double>, block int")
+    edges = spark.createDataFrame([(0, 1, 0.5), (1, 2, 0.25), (2, 0, 0.75)], "a long, b long, w double")
+    got = {(r.a, r.b): (r.w, r.own, r.to) for r in L.placed_links(edges, blocks).collect()}
+    assert got == {(0, 1): (0.5, 7, None), (1, 2): (0.25, 7, [2.0]), (2, 0): (0.75, 8, [0.0])}
+
+
 def test_curve():
     # Known values for a spread of 1.
     assert np.allclose(L.curve(0.1), (1.577, 0.895), atol=2e-3)

@@ -127,6 +127,16 @@ def moved(at: np.ndarray, free: int, a: np.ndarray, b: np.ndarray, share: np.nda
     return at
 
 
+def placed_links(edges: DataFrame, blocks: DataFrame) -> DataFrame:
+    """a, b, w of the edges plus own, the block of a, and to, the position of b if that is in another block.
+
+    A block has its own points, so only positions outside of it travel, and the block of a is joined first.
+    """
+    owned = edges.join(blocks.select(F.col("id").alias("a"), F.col("block").alias("own")), "a")
+    links = owned.join(blocks.select(F.col("id").alias("b"), F.col("vec").alias("to"), F.col("block").alias("there")), "b")
+    return links.select("a", "b", "w", "own", F.when(F.col("there") != F.col("own"), F.col("to")).alias("to"))
+
+
 def one_round(placed: DataFrame, edges: DataFrame, n: int, top: float, number: int, ab: tuple[float, float], seed: int) -> DataFrame:
     """placed (id, vec) after the epochs of one round."""
     spark = placed.sparkSession
@@ -161,8 +171,7 @@ def one_round(placed: DataFrame, edges: DataFrame, n: int, top: float, number: i
         return pd.DataFrame({"id": ids, "vec": list(at[:free])})
 
     blocks = cut_lineage(placed.mapInPandas(deal, "id long, vec array<double>, block int"))
-    links = edges.join(blocks.select(F.col("id").alias("b"), F.col("vec").alias("to")), "b")
-    links = links.join(blocks.select(F.col("id").alias("a"), F.col("block").alias("own")), "a")
+    links = placed_links(edges, blocks)
     after = blocks.groupBy("block").cogroup(links.groupBy("own")).applyInPandas(move, "id long, vec array<double>")
     after = cut_lineage(after)
     sent.destroy()
