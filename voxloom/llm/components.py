@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.session import cut_lineage
+from voxloom.session import cut_round
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     node joins its smaller neighbours and itself to the smallest of them. Both are a minimum by key and a
     join, so a node with very many neighbours is split over tasks. Repeated until nothing changes.
     """
-    edges = cut_lineage(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = cut_round(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
     while (now := _state(edges)) != state:
         state = now
@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.unionByName(least.where("m < u").select("u", F.col("m").alias("v"))).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut_lineage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = cut_round(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 

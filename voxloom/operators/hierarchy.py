@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.operators.spanning import components
-from voxloom.session import cut_lineage
+from voxloom.session import cut_round
 
 RANGE = 1 << 17  # edges meant for one range of weights
 KEY = 42  # bits of a node's number; the range stands above them
@@ -56,7 +56,7 @@ def contracted(edges: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame
     sizes: id, size of all nodes. A component is named by its smallest member.
     """
     edges, parts = ranges_of(edges)
-    edges = cut_lineage(edges.withColumn("group", F.lit(0)))
+    edges = cut_round(edges.withColumn("group", F.lit(0)))
     nodes = sizes.select(F.lit(0).alias("group"), "id", "size")
     width = 1 << max(0, math.ceil(math.log2(parts)))
     key = lambda column: F.shiftleft(F.col("group").cast("long"), KEY).bitwiseOR(F.col(column)).alias(column)
@@ -68,17 +68,17 @@ def contracted(edges: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame
             F.shiftright("id", KEY).cast("int").alias("group"), F.col("id").bitwiseAND(F.lit((1 << KEY) - 1)).alias("id"),
             F.col("component").bitwiseAND(F.lit((1 << KEY) - 1)).alias("to"),
         )
-        joined = cut_lineage(joined)
+        joined = cut_round(joined)
         heavy = edges.where(upper)
         for end in ("a", "b"):
             renamed = joined.select("group", F.col("id").alias(end), F.col("to").alias("_to"))
             heavy = heavy.join(renamed, ["group", end], "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
         summed = nodes.join(joined, ["group", "id"], "left").groupBy("group", F.coalesce("to", "id").alias("id")).agg(F.sum("size").alias("size"))
         later = F.col("group") + half
-        edges = cut_lineage(edges.where(~upper).unionByName(heavy.where("a <> b").withColumn("group", later)))
+        edges = cut_round(edges.where(~upper).unionByName(heavy.where("a <> b").withColumn("group", later)))
         nodes = nodes.unionByName(summed.withColumn("group", later))
         used = edges.select("group", F.col("a").alias("id")).unionByName(edges.select("group", F.col("b").alias("id"))).distinct()
-        nodes = cut_lineage(nodes.join(used, ["group", "id"], "left_semi"))
+        nodes = cut_round(nodes.join(used, ["group", "id"], "left_semi"))
         width = half
     return edges.select("a", "b", "w", "range"), nodes.select(F.col("group").alias("range"), "id", "size")
 
@@ -173,7 +173,7 @@ def read_ranges(edges: DataFrame, sizes: DataFrame, least: int) -> tuple[DataFra
     edges, nodes = contracted(edges, sizes)
     order = Window.partitionBy("id").orderBy("range")
     nodes = nodes.withColumns({"next": F.lead("range").over(order), "single": F.lag("range").over(order).isNull()})
-    nodes = cut_lineage(nodes)
+    nodes = cut_round(nodes)
     finest = edges.agg(F.min("w")).first()[0]
 
     def read(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -181,7 +181,7 @@ def read_ranges(edges: DataFrame, sizes: DataFrame, least: int) -> tuple[DataFra
         return read_range(int(key[0]), *columns, right, least, finest).assign(range=int(key[0]))
 
     found = nodes.groupBy("range").cogroup(edges.groupBy("range")).applyInPandas(read, f"{FOUND}, range int")
-    return cut_lineage(found), nodes.select("range", "id", "next")
+    return cut_round(found), nodes.select("range", "id", "next")
 
 
 def pointers(found: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -193,14 +193,14 @@ def pointers(found: DataFrame, nodes: DataFrame) -> DataFrame:
     up = up.select(named("range", "node").alias("code"), F.coalesce(named("next", "label"), F.lit(NONE)).alias("to"))
     root = found.where("kind = 'root'").withColumnRenamed("node", "label").join(later, ["range", "label"])
     root = root.where("next is not null").select(named("next", "label").alias("code"), F.col("name").alias("to"))
-    held = cut_lineage(inside.unionByName(up).unionByName(root))
+    held = cut_round(inside.unionByName(up).unionByName(root))
     while True:
         step = held.select(F.col("code").alias("to"), F.col("to").alias("further"))
         moved = held.where("to >= 0").join(step, "to").select("code", F.col("further").alias("now"))
-        moved = cut_lineage(moved)
+        moved = cut_round(moved)
         if moved.isEmpty():
             return held
-        held = cut_lineage(held.join(moved, "code", "left").select("code", F.coalesce("now", "to").alias("to")))
+        held = cut_round(held.join(moved, "code", "left").select("code", F.coalesce("now", "to").alias("to")))
 
 
 def clusters_of(found: DataFrame, nodes: DataFrame, leads: DataFrame) -> DataFrame:
@@ -235,7 +235,7 @@ def best_values(clusters: DataFrame) -> DataFrame:
             F.when(one, F.col("s")).otherwise(F.col("a")).alias("a"), F.when(one, F.col("got")).otherwise(F.col("b")).alias("b"),
             F.when(one, F.col("last")).otherwise(F.col("dep")).alias("dep"),
         )
-        state = cut_lineage(state)
+        state = cut_round(state)
         below = state.select(F.col("c").alias("dep"), F.col("val").alias("x"), F.col("a").alias("xa"), F.col("b").alias("xb"), F.col("dep").alias("xdep"))
         state = state.join(below, "dep", "left")
         on = F.col("val").isNull() & F.col("x").isNull() & F.col("xdep").isNotNull()
@@ -247,7 +247,7 @@ def best_values(clusters: DataFrame) -> DataFrame:
         )
         # greatest() skips nulls: without x there is no value yet.
         val = F.coalesce("had", F.when(F.col("x").isNotNull(), F.col("val0")))
-        state = cut_lineage(state.withColumn("val", val).select("c", "parent", "s", "val", "a", "b", "dep"))
+        state = cut_round(state.withColumn("val", val).select("c", "parent", "s", "val", "a", "b", "dep"))
         if state.where("val is null").isEmpty():
             return state.select("c", "parent", "s", "val")
 
@@ -261,11 +261,11 @@ def chosen(clusters: DataFrame) -> DataFrame:
     below = valued.where("parent is not null").groupBy(F.col("parent").alias("c")).agg(F.sum("val").alias("below"))
     taken = F.col("parent").isNotNull() & (F.col("s") >= F.coalesce("below", F.lit(0.0)))
     state = valued.join(below, "c", "left").select("c", F.col("parent").alias("up"), F.when(taken, F.col("c")).alias("best"))
-    state = cut_lineage(state)
+    state = cut_round(state)
     while not state.where("up is not null").isEmpty():
         step = state.select(F.col("c").alias("up"), F.col("up").alias("_up"), F.col("best").alias("_best"))
         moved = state.join(step, "up", "left")
-        state = cut_lineage(moved.select("c", F.col("_up").alias("up"), F.coalesce("_best", "best").alias("best")))
+        state = cut_round(moved.select("c", F.col("_up").alias("up"), F.coalesce("_best", "best").alias("best")))
     return state.select("c", "best")
 
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.session import cut_lineage
+from voxloom.session import cut_lineage, cut_round
 
 CELL = 4096  # points meant for one cell
 CELLS = 1 << 14  # at most so many cells: their boxes are broadcast
@@ -301,11 +301,11 @@ def spanning_tree(points: DataFrame, cells: Cells) -> DataFrame:
     tree = [grown.where("id < 0").select("a", "b", "w")]
     points = cut_lineage(points.join(grown.where("id >= 0").select("id", "comp"), "id"))
     while points.select("comp").distinct().limit(2).count() > 1:
-        edges = cut_lineage(lightest_exits(points))
+        edges = cut_round(lightest_exits(points))
         tree.append(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "w"))
         joined = components(edges.select(F.col("comp_a").alias("u"), F.col("comp_b").alias("v")))
         moved = points.join(joined.select(F.col("id").alias("comp"), "component"), "comp", "left")
-        points = cut_lineage(moved.withColumn("comp", F.coalesce("component", "comp")).drop("component"))
+        points = cut_round(moved.withColumn("comp", F.coalesce("component", "comp")).drop("component"))
     out = tree[0]
     for part in tree[1:]:
         out = out.unionByName(part)
@@ -415,7 +415,7 @@ def components(edges: DataFrame) -> DataFrame:
         ends = ends.reshape(-1, 2)
         yield pd.DataFrame({"id": ids, "component": ids[merged(len(ids), ends[:, 0], ends[:, 1])]})
 
-    held, last = cut_lineage(tidy(edges)), None
+    held, last = cut_round(tidy(edges)), None
     while True:
         digest = F.xxhash64("u", "v")
         now = held.agg(F.count("*"), F.bit_xor(digest), F.sum(F.shiftright(digest, 24))).first()
@@ -429,6 +429,6 @@ def components(edges: DataFrame) -> DataFrame:
         held = tidy(up.unionByName(lows.select("u", F.col("m").alias("v"))))
         lows = held.groupBy("u").agg(F.min("v").alias("m"))
         down = held.join(lows, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        held = cut_lineage(tidy(down.unionByName(lows.select("u", F.col("m").alias("v")))))
+        held = cut_round(tidy(down.unionByName(lows.select("u", F.col("m").alias("v")))))
     roots = held.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return held.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
