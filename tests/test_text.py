@@ -48,6 +48,15 @@ def test_tokens_and_ngrams(spark):
     assert (got[1].t, got[1].g, got[2].g) == ([], [], ["one"])
 
 
+def test_plain_texts_get_the_same_tokens_without_looking_around(spark):
+    texts = ["don't _z x yy", "A1_b,c-d e2e\tF", "", " ", "İK K2 ABC", "été ABC", "a b c"]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    general = F.regexp_extract_all(F.lower("t"), F.lit(K.TOKEN_PATTERN), F.lit(0))
+    got = rows.select(K.tokens(F.col("t")).alias("t"), general.alias("g"))
+    assert K.ASCII_TOKEN_PATTERN in got._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r.t == r.g for r in got.collect())
+
+
 def test_bigrams_jump_over_stop_words_and_repeats_stay(spark):
     rows = spark.createDataFrame([(["bad", "the", "app", "app"],)], "t array<string>")
     kept = rows.select(K.without(F.col("t"), ["the"]).alias("t"))

@@ -87,7 +87,7 @@ def is_blank(c: Column) -> Column:
 
 def word_count(cleaned: Column) -> Column:
     """Words of an already cleaned text: single spaces separate them."""
-    spaces = F.length(cleaned) - F.length(F.translate(cleaned, " ", ""))
+    spaces = F.length(cleaned) - F.length(F.replace(cleaned, F.lit(" "), F.lit("")))
     return F.when(cleaned == "", F.lit(0)).otherwise(spaces + 1)
 
 

@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 _WORD = r"[\p{L}\p{N}_]"
 _BOUNDARY = rf"(?:(?<!{_WORD})(?={_WORD})|(?<={_WORD})(?!{_WORD}))"
 TOKEN_PATTERN = rf"{_BOUNDARY}[\p{{L}}\p{{N}}_\x{{0600}}-\x{{06FF}}]{{2,}}{_BOUNDARY}"
+# The same tokens in lower-case text of one byte per character, where boundaries need no looking around.
+ASCII_TOKEN_PATTERN = "[a-z0-9_]{2,}"
 
 
 def tokens(cleaned: Column) -> Column:
-    return F.regexp_extract_all(F.lower(cleaned), F.lit(TOKEN_PATTERN), F.lit(0))
+    low = F.lower(cleaned)
+    return F.when(
+        F.octet_length(cleaned) == F.length(cleaned), F.regexp_extract_all(low, F.lit(ASCII_TOKEN_PATTERN), F.lit(0))
+    ).otherwise(F.regexp_extract_all(low, F.lit(TOKEN_PATTERN), F.lit(0)))
 
 
 def without(token_array: Column, words: list[str]) -> Column:
