@@ -79,6 +79,17 @@ def kept_once(spark, sf):
     return stored(kept(spark, sf), "kept")
 
 
+def kept_texts(spark, sf):
+    """row_id, cleaned_text of the kept rows, written for what counts words and never shows an original."""
+    return stored(kept(spark, sf).select("row_id", "cleaned_text"), "texts")
+
+
+def own_texts(rows):
+    """row_id, cleaned_text of the ``topic_texts``, for what does not ask the topic: every kept row with an id has a label,
+    so the join, which would move the texts, is left out."""
+    return rows.filter("row_id is not null").select("row_id", "cleaned_text")
+
+
 def kept_ids(spark, sf):
     """Only row_id, for what goes over the kept rows several times and reads no text."""
     return settled(kept(spark, sf).select("row_id"))
@@ -120,7 +131,7 @@ def supplied_members(spark, sf):
 
 def counted_texts(spark, sf, rows=None):
     """The comments with their topics, dealt for counting their words."""
-    rows = kept_once(spark, sf) if rows is None else rows
+    rows = kept_texts(spark, sf) if rows is None else rows
     return labelled_texts(rows, labels(spark, sf))
 
 
@@ -133,7 +144,7 @@ def keywords(spark, sf, rows=None):
 
 
 def topics(spark, sf, words=None, rows=None):
-    rows = kept_once(spark, sf) if rows is None else rows
+    rows = kept_texts(spark, sf) if rows is None else rows
     texts = counted_texts(spark, sf, rows) if words is None else topic_texts(spark, sf, rows)
     return settled(KW.topic_table(texts, SETTINGS, words))
 
@@ -294,7 +305,7 @@ def representatives(k, flag=None):
     def query(spark, sf):
         mark = None if flag is None else F.expr(flag)
         rows = kept_once(spark, sf)
-        chosen = R.representatives(members(spark, sf, rows), SETTINGS, k, mark, narrowed_members(spark, sf, rows))
+        chosen = R.representatives(members(spark, sf, R.keyed(rows)), SETTINGS, k, mark, narrowed_members(spark, sf, rows))
         return chosen.select("topic_id", "rank", "row_id", F.round("sim", 6).alias("sim"), "original_comment")
 
     return query
@@ -321,21 +332,23 @@ def topic_balance(spark, sf):
 
 
 def keyword_document_frequency(spark, sf):
-    rows = kept_once(spark, sf)
+    rows = kept_texts(spark, sf)
     chosen = settled(keywords(spark, sf, rows))
-    freq = M.document_frequency(M.keyword_sets(topic_texts(spark, sf, rows), chosen, SETTINGS), SETTINGS)
+    freq = M.document_frequency(M.keyword_sets(own_texts(rows), chosen, SETTINGS), SETTINGS)
     return chosen.join(freq, ["topic_id", "rank"]).select("topic_id", "rank", "term", "doc_freq")
 
 
 def npmi_pairs(spark, sf):
-    rows = kept_once(spark, sf)
-    pairs = M.npmi_pairs(topic_texts(spark, sf, rows), settled(keywords(spark, sf, rows)), SETTINGS)
+    rows = kept_texts(spark, sf)
+    words = settled(keywords(spark, sf, rows))
+    pairs = M.npmi_pairs(topic_texts(spark, sf, rows), words, SETTINGS, own_texts(rows))
     return pairs.withColumn("npmi", F.round("npmi", 6))
 
 
 def npmi(spark, sf):
-    rows = kept_once(spark, sf)
-    value = M.npmi_coherence(topic_texts(spark, sf, rows), settled(keywords(spark, sf, rows)), SETTINGS)
+    rows = kept_texts(spark, sf)
+    words = settled(keywords(spark, sf, rows))
+    value = M.npmi_coherence(topic_texts(spark, sf, rows), words, SETTINGS, own_texts(rows))
     return value.select(F.round("npmi_coherence", 6).alias("npmi_coherence"))
 
 
@@ -348,7 +361,7 @@ def silhouette_cosine(spark, sf):
 
 
 def run_metrics(spark, sf, words=None, rows=None):
-    rows = kept_once(spark, sf) if rows is None else rows
+    rows = kept_texts(spark, sf) if rows is None else rows
     return M.metrics_row(
         topic_texts(spark, sf, rows),
         members(spark, sf, rows),
@@ -357,6 +370,7 @@ def run_metrics(spark, sf, words=None, rows=None):
         engine="given",
         model="minilm",
         runtime_sec=0.0,
+        texts=own_texts(rows),
     )
 
 
@@ -403,7 +417,7 @@ def feedback_with_topics(spark, sf):
 
 
 def adaptive_samples(spark, sf, rows):
-    return settled(R.representatives(members(spark, sf, rows), SETTINGS, narrowed=narrowed_members(spark, sf, rows)))
+    return settled(R.representatives(members(spark, sf, R.keyed(rows)), SETTINGS, narrowed=narrowed_members(spark, sf, rows)))
 
 
 def topic_summary(spark, sf):
@@ -430,7 +444,7 @@ def largest_topics(spark, sf):
 
 
 def overview(spark, sf):
-    rows = kept_once(spark, sf)
+    rows = kept_texts(spark, sf)
     words = settled(keywords(spark, sf, rows))
     return RP.overview(
         described(spark, sf, words, rows),
@@ -441,7 +455,7 @@ def overview(spark, sf):
 
 
 def settings_table(spark, sf):
-    rows = kept_once(spark, sf)
+    rows = kept_texts(spark, sf)
     return RP.settings_table(
         run_metrics(spark, sf, rows=rows),
         C.cleaning_stats(documents(spark, sf), "text", "doc_id"),
@@ -469,7 +483,7 @@ def chart(make):
 def payloads(spark, sf, given=None, rows=None):
     rows = kept_once(spark, sf) if rows is None else rows
     narrowed = narrowed_members(spark, sf, rows)
-    samples = R.packed_samples(R.representatives(members(spark, sf, rows), SETTINGS, SETTINGS.samples_per_topic, narrowed=narrowed))
+    samples = R.packed_samples(R.representatives(members(spark, sf, R.keyed(rows)), SETTINGS, SETTINGS.samples_per_topic, narrowed=narrowed))
     found = topics(spark, sf, rows=rows) if given is None else given
     return settled(AN.topic_payloads(found, comments(spark, sf, rows), samples, SETTINGS))
 
@@ -655,7 +669,7 @@ def checkpoint_roundtrip(spark, sf):
     """Topics saved and loaded by signature; another signature finds nothing."""
     folder = scratch_path(spark, "state")
     stats = C.cleaning_stats(documents(spark, sf), "text", "doc_id")
-    rows = kept_once(spark, sf)
+    rows = kept_texts(spark, sf)
     words = settled(keywords(spark, sf, rows))
     tables = {
         "labels": topic_texts(spark, sf, rows).select("row_id", "topic_id"),

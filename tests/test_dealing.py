@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from conformance import queries as Q
 from voxloom.operators import lookup
+from voxloom.operators import metrics as M
 from voxloom.operators import representatives as R
 from voxloom.operators.keywords import topic_term_counts, vocabulary
 from voxloom.settings import Settings
@@ -72,3 +73,30 @@ def test_texts_read_several_times_are_written(spark, tmp_path):
     rows = Q.kept_once(spark, sf)
     assert "InMemoryRelation" not in rows._jdf.queryExecution().optimizedPlan().toString()
     assert rows.inputFiles() and rows.count() == 40
+
+
+def test_counting_writes_no_originals(spark, tmp_path, monkeypatch):
+    sf, written = tables(spark, tmp_path), []
+    monkeypatch.setattr(Q, "stored", lambda df, name: written.append(df.columns) or df)
+    Q.topics(spark, sf), Q.counted_texts(spark, sf), Q.keyword_document_frequency(spark, sf), Q.run_metrics(spark, sf)
+    assert written == [["row_id", "cleaned_text"]] * 4
+
+
+def test_keyword_sets_are_found_without_moving_texts(spark, tmp_path):
+    sf = tables(spark, tmp_path)
+    rows = Q.kept_texts(spark, sf)
+    words = spark.createDataFrame([(0, 1, "word"), (1, 2, "again")], "topic_id int, rank int, term string")
+    sets = M.keyword_sets(Q.own_texts(rows), words, Settings())
+    assert "embeddings" not in "".join(sets.inputFiles())
+    assert sorted(sets.collect()) == sorted(M.keyword_sets(Q.topic_texts(spark, sf, rows), words, Settings()).collect())
+    plain = M.npmi_pairs(Q.topic_texts(spark, sf, rows), words, Settings()).collect()
+    assert M.npmi_pairs(Q.topic_texts(spark, sf, rows), words, Settings(), Q.own_texts(rows)).collect() == plain
+
+
+def test_representatives_move_a_digest_of_the_text(spark, tmp_path):
+    sf = tables(spark, tmp_path)
+    rows = Q.kept_once(spark, sf)
+    found = R.candidates(Q.members(spark, sf, R.keyed(rows)), Settings(), 2)
+    joins = found._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")
+    assert len(joins) > 1 and "cleaned_text" not in joins[0] and "sha2" not in joins[0]
+    assert sorted(found.collect()) == sorted(R.candidates(Q.members(spark, sf, rows), Settings(), 2).collect())

@@ -86,10 +86,14 @@ def document_frequency(sets: DataFrame, settings: Settings) -> DataFrame:
 
 
 def npmi_pairs(
-    comments: DataFrame, keywords: DataFrame, settings: Settings
+    comments: DataFrame, keywords: DataFrame, settings: Settings, texts: DataFrame | None = None
 ) -> DataFrame:
-    """topic_id, rank_i, rank_j, together, npmi for all keyword pairs of a topic (45 for ten keywords)."""
-    sets = settled(keyword_sets(comments, keywords, settings))
+    """topic_id, rank_i, rank_j, together, npmi for all keyword pairs of a topic (45 for ten keywords).
+
+    ``texts`` (row_id, cleaned_text) are those of the same comments, given where a join made ``comments``: which topic
+    a comment has is not asked, so its text need not go through that join.
+    """
+    sets = settled(keyword_sets(comments if texts is None else texts, keywords, settings))
     freq = document_frequency(sets, settings)
     left = freq.select("topic_id", F.col("rank").alias("rank_i"), F.col("doc_freq").alias("df_i"))
     right = freq.select("topic_id", F.col("rank").alias("rank_j"), F.col("doc_freq").alias("df_j"))
@@ -111,9 +115,11 @@ def npmi_pairs(
     return together.select("topic_id", "rank_i", "rank_j", "together", npmi.alias("npmi"))
 
 
-def npmi_coherence(comments: DataFrame, keywords: DataFrame, settings: Settings) -> DataFrame:
+def npmi_coherence(
+    comments: DataFrame, keywords: DataFrame, settings: Settings, texts: DataFrame | None = None
+) -> DataFrame:
     """One row: mean over topics of the mean NPMI of their keyword pairs; 0 when there is no pair."""
-    per_topic = npmi_pairs(comments, keywords, settings).groupBy("topic_id").agg(F.avg("npmi").alias("npmi"))
+    per_topic = npmi_pairs(comments, keywords, settings, texts).groupBy("topic_id").agg(F.avg("npmi").alias("npmi"))
     return per_topic.agg(F.coalesce(F.avg("npmi"), F.lit(0.0)).alias("npmi_coherence"))
 
 
@@ -173,8 +179,9 @@ def metrics_row(
     engine: str,
     model: str,
     runtime_sec: float | None,
+    texts: DataFrame | None = None,
 ) -> DataFrame:
-    """The ten figures of one run in one row."""
+    """The ten figures of one run in one row; ``texts`` as in ``npmi_pairs``."""
     sizes = settled(topic_sizes(comments))
     return share_figures(sizes).select(
         F.lit(engine).alias("engine"),
@@ -184,7 +191,7 @@ def metrics_row(
         F.round("noise_rate", 4).alias("noise_rate"),
         F.round("coverage", 4).alias("coverage"),
         F.round(silhouette(members, settings).scalar(), 4).alias("silhouette"),
-        F.round(npmi_coherence(comments, keywords, settings).scalar(), 4).alias("npmi_coherence"),
+        F.round(npmi_coherence(comments, keywords, settings, texts).scalar(), 4).alias("npmi_coherence"),
         F.round(topic_balance(sizes).scalar(), 4).alias("topic_balance"),
         F.round(F.lit(runtime_sec).cast("double"), 2).alias("runtime_sec"),
     )

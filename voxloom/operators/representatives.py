@@ -23,6 +23,16 @@ def similarity(members: DataFrame, settings: Settings, centers: DataFrame | None
     return joined.withColumn("sim", cosine(F.col("vec"), F.col("centroid"))).drop("centroid")
 
 
+def keyed(comments: DataFrame) -> DataFrame:
+    """comments plus what ``candidates`` asks of a text, so that joins behind it move a digest in its place."""
+    return comments.withColumns(
+        {
+            "text_key": F.sha2(T.dedup_key(F.col("cleaned_text")), 256),
+            "has_arabic": T.has_arabic(F.col("cleaned_text")),
+        }
+    )
+
+
 def candidates(
     members: DataFrame,
     settings: Settings,
@@ -36,11 +46,12 @@ def candidates(
     row. Then the best ``k_max`` of either language remain; Spark cuts to that many per map task before
     it moves rows, so a topic with most of the comments costs no more than a small one.
     """
-    language = T.has_arabic(F.col("cleaned_text")) if flag is None else flag
+    members = members if "text_key" in members.columns else keyed(members)
+    language = F.col("has_arabic") if flag is None else flag
     scored = similarity(members, settings, centers)
     closest = F.max(F.struct("sim", (-F.col("row_id")).alias("minus_id"), language.alias("flag")))
     unique = (
-        scored.groupBy("topic_id", F.sha2(T.dedup_key(F.col("cleaned_text")), 256).alias("text_key"))
+        scored.groupBy("topic_id", "text_key")
         .agg(closest.alias("c"), F.max("topic_n").alias("topic_n"))
         .select(
             "topic_id", "topic_n", (-F.col("c.minus_id")).alias("row_id"), F.col("c.sim").alias("sim"),
