@@ -699,7 +699,7 @@ def sink_roundtrip(spark, sf):
 
 
 def hashed_vectors(spark, sf):
-    rows = hashed_tfidf(kept_once(spark, sf), SETTINGS)
+    rows = hashed_tfidf(kept(spark, sf), SETTINGS)
     return rows.select("row_id", F.size("vec").alias("width"), F.round(norm(F.col("vec")), 4).alias("length"))
 
 
@@ -738,9 +738,8 @@ def kmeans_topics(spark, sf):
 
 
 def discovery(spark, sf):
-    rows = kept_once(spark, sf).select("row_id", "cleaned_text")
-    vectors = settled(hashed_tfidf(rows, SETTINGS))
-    return discover(rows, vectors, SETTINGS, "hashed")
+    rows = kept_texts(spark, sf)
+    return discover(rows, hashed_tfidf(rows, SETTINGS, sparse=True), SETTINGS, "hashed")
 
 
 def discovered_labels(spark, sf):

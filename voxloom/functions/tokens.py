@@ -12,13 +12,19 @@ _BOUNDARY = rf"(?:(?<!{_WORD})(?={_WORD})|(?<={_WORD})(?!{_WORD}))"
 TOKEN_PATTERN = rf"{_BOUNDARY}[\p{{L}}\p{{N}}_\x{{0600}}-\x{{06FF}}]{{2,}}{_BOUNDARY}"
 # The same tokens in lower-case text of one byte per character, where boundaries need no looking around.
 ASCII_TOKEN_PATTERN = "[a-z0-9_]{2,}"
+# The same tokens in text without the Arabic block, where every run of word characters ends on boundaries.
+PLAIN_TOKEN_PATTERN = rf"{_WORD}{{2,}}"
+_LOOKS_AROUND = r"[\x{0600}-\x{06FF}\x{10000}-\x{10FFFF}]"  # looking around cuts letters above U+FFFF at an edge
 
 
 def tokens(cleaned: Column) -> Column:
     low = F.lower(cleaned)
-    return F.when(
-        F.octet_length(cleaned) == F.length(cleaned), F.regexp_extract_all(low, F.lit(ASCII_TOKEN_PATTERN), F.lit(0))
-    ).otherwise(F.regexp_extract_all(low, F.lit(TOKEN_PATTERN), F.lit(0)))
+    found = lambda pattern: F.regexp_extract_all(low, F.lit(pattern), F.lit(0))
+    return (
+        F.when(F.octet_length(cleaned) == F.length(cleaned), found(ASCII_TOKEN_PATTERN))
+        .when(~cleaned.rlike(_LOOKS_AROUND), found(PLAIN_TOKEN_PATTERN))
+        .otherwise(found(TOKEN_PATTERN))
+    )
 
 
 def without(token_array: Column, words: list[str]) -> Column:

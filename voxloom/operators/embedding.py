@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from voxloom.functions import text as T
 from voxloom.functions import tokens as K
 from voxloom.operators.arrays import unit
+from voxloom.session import stored
 from voxloom.settings import Settings, uses_query_prefix
 
 
@@ -41,13 +42,20 @@ def encoded(
     return _float_vectors(unit(inputs.mapInPandas(run, "row_id long, vec array<float>")))
 
 
-def hashed_tfidf(comments: DataFrame, settings: Settings) -> DataFrame:
-    """row_id, vec: TF-IDF of the tokens over ``hash_dims`` hash buckets, unit length; JVM only."""
+def hashed_tfidf(comments: DataFrame, settings: Settings, sparse: bool = False) -> DataFrame:
+    """row_id, vec: TF-IDF of the tokens over ``hash_dims`` hash buckets, unit length; JVM only.
+
+    The tokens are hashed once and their counts written as sparse vectors. What is left to do is so little that
+    nothing wide is kept for those who read the vectors several times. ``sparse``: vec is a sparse ml vector.
+    """
     words = comments.select("row_id", K.tokens(F.col("cleaned_text")).alias("words"))
-    counted = HashingTF(inputCol="words", outputCol="tf", numFeatures=settings.hash_dims).transform(words)
+    hashing = HashingTF(inputCol="words", outputCol="tf", numFeatures=settings.hash_dims)
+    counted = stored(hashing.transform(words).select("row_id", "tf"), "counts")
     weighted = IDF(inputCol="tf", outputCol="tfidf").fit(counted).transform(counted)
     scaled = Normalizer(inputCol="tfidf", outputCol="unit").transform(weighted)
-    return _float_vectors(scaled.select("row_id", vector_to_array("unit").alias("vec")))
+    if sparse:
+        return scaled.select("row_id", F.col("unit").alias("vec"))
+    return scaled.select("row_id", vector_to_array("unit", "float32").alias("vec"))
 
 
 def _float_vectors(df: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from voxloom.session import cut_round
 
 RANGE = 1 << 17  # edges meant for one range of weights
 KEY = 42  # bits of a node's number; the range stands above them
+FEW = 1 << 17  # so many clusters are chosen from inside one task
 NONE = -(1 << 62)  # no cluster: what never reaches the minimum size
 
 
@@ -252,11 +253,42 @@ def best_values(clusters: DataFrame) -> DataFrame:
             return state.select("c", "parent", "s", "val")
 
 
+def choose(clusters: pd.DataFrame) -> pd.DataFrame:
+    """``chosen`` inside one task."""
+    names, s = clusters["c"].to_numpy(), clusters["s"].tolist()
+    place = {c: k for k, c in enumerate(names.tolist())}
+    inner = clusters["parent"].notna().tolist()
+    up = [place.get(int(p), -1) if there else -1 for p, there in zip(clusters["parent"], inner)]
+    order, kids = [], [[] for _ in up]
+    for k, p in enumerate(up):
+        (kids[p] if p >= 0 else order).append(k)
+    for k in order:  # grows: parents come before their children
+        order.extend(kids[k])
+    below, best = [0.0] * len(up), [None] * len(up)
+    for k in reversed(order):
+        if up[k] >= 0:
+            below[up[k]] += max(s[k], below[k])
+    for k in order:
+        best[k] = best[up[k]] if up[k] >= 0 else None
+        if best[k] is None and inner[k] and s[k] >= below[k]:
+            best[k] = int(names[k])
+    return pd.DataFrame({"c": names, "best": pd.array(best, "Int64")})
+
+
 def chosen(clusters: DataFrame) -> DataFrame:
     """c, best: the topmost cluster above (or itself) that is at least as stable as the best choice below it.
 
-    The root is never taken; best is null where there is none.
+    The root is never taken; best is null where there is none. Few clusters are read by one task, more in rounds.
     """
+    clusters = cut_round(clusters)
+    if clusters.count() <= FEW:
+        def few(batches):
+            batches = list(batches)
+            if batches:
+                yield choose(pd.concat(batches))
+
+        rows = clusters.select("c", F.col("parent").cast("string").alias("parent"), "s")  # numbers would lose digits beside nulls
+        return cut_round(rows.coalesce(1).mapInPandas(few, "c long, best long"))
     valued = best_values(clusters)
     below = valued.where("parent is not null").groupBy(F.col("parent").alias("c")).agg(F.sum("val").alias("below"))
     taken = F.col("parent").isNotNull() & (F.col("s") >= F.coalesce("below", F.lit(0.0)))

@@ -4,7 +4,7 @@ Weighted points are dealt to the cells of a k-d tree made from a bounded sample.
 from a search in the point's own cell and in those other cells that its ball reaches. The tree grows by
 lightest exits (Borůvka): inside a cell as long as no point outside can be nearer, then over all cells,
 where a point is only sent to cells that could hold a lighter exit than its component already knows.
-Inside a cell, leaves of some tens of points with bounding boxes are searched nearest first.
+Inside a cell, leaves of about a hundred points with bounding boxes are searched nearest first.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxloom.session import cut_lineage, cut_round
@@ -21,18 +21,20 @@ from voxloom.session import cut_lineage, cut_round
 CELL = 4096  # points meant for one cell
 CELLS = 1 << 14  # at most so many cells: their boxes are broadcast
 SAMPLE = 16  # sampled points for each cell
-LEAF = 48
-FEW = 1 << 17  # so many edges are joined to components inside one task
+LEAF = 128
+FEW = 1 << 21  # so many edges are joined to components inside one task
+SMALL = 1 << 17  # a table of components with at most so many rows (two numbers each) is broadcast
 POINT = "id long, weight long, vec array<double>, cell int"
 
 
 # ---- inside one task -----------------------------------------------------------------------------------
 def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Axis by axis in one order, so that both directions give the same value."""
-    total = np.zeros((len(left), len(right)))
-    for axis in range(left.shape[1]):
-        total += (left[:, axis, None] - right[None, :, axis]) ** 2
-    return np.sqrt(total)
+    total, gap = np.zeros((len(left), len(right))), np.empty((len(left), len(right)))
+    for one, two in zip(np.ascontiguousarray(left.T), np.ascontiguousarray(right.T)):
+        np.subtract(one[:, None], two[None], out=gap)
+        total += np.multiply(gap, gap, out=gap)
+    return np.sqrt(total, out=total)
 
 
 def box_distances(lo: np.ndarray, hi: np.ndarray, los: np.ndarray, his: np.ndarray) -> np.ndarray:
@@ -72,11 +74,18 @@ def nearest_weights(asked: Leaves, limit: np.ndarray, there: Leaves, weight: np.
             if least[leaf] > bound.max():
                 break
             d = distances(vectors, there.vectors[leaf])
-            d = np.concatenate([best_d, np.where(d <= limit[rows][:, None], d, np.inf)], 1)
-            w = np.concatenate([best_w, np.broadcast_to(weight[there.rows[leaf]], (len(rows), len(there.rows[leaf])))], 1)
+            d[d > bound[:, None]] = np.inf
+            at = np.flatnonzero(np.isfinite(d).any(1))  # only those who gain a neighbour sort theirs anew
+            if not len(at):
+                continue
+            d = np.concatenate([best_d[at], d[at]], 1)
+            w = np.concatenate([best_w[at], np.broadcast_to(weight[there.rows[leaf]], (len(at), len(there.rows[leaf])))], 1)
+            if d.shape[1] > 4 * reach:
+                few = np.argpartition(d, reach - 1, axis=1)[:, :reach]
+                d, w = np.take_along_axis(d, few, 1), np.take_along_axis(w, few, 1)
             order = np.argsort(d, axis=1, kind="stable")[:, :reach]
-            best_d, best_w = np.take_along_axis(d, order, 1), np.take_along_axis(w, order, 1)
-            bound = np.minimum(limit[rows], reached(best_d, best_w, reach))
+            best_d[at], best_w[at] = np.take_along_axis(d, order, 1), np.take_along_axis(w, order, 1)
+            bound[at] = np.minimum(bound[at], reached(best_d[at], best_w[at], reach))
         out_d[rows], out_w[rows] = best_d, best_w
     return out_d, out_w
 
@@ -93,16 +102,30 @@ class Exits:
     def __init__(self, n: int):
         self.w, self.a, self.b = np.full(n, np.inf), np.full(n, -1), np.full(n, -1)
 
-    def search(self, asked: Leaves, core: np.ndarray, comp: np.ndarray, there: Leaves, core_there: np.ndarray, comp_there: np.ndarray) -> None:
-        """Components are numbers below n on the asked side, and the same numbers (or -1) on the other."""
+    def search(
+        self, asked: Leaves, core: np.ndarray, comp: np.ndarray, there: Leaves, core_there: np.ndarray, comp_there: np.ndarray, known: np.ndarray
+    ) -> None:
+        """Components are numbers below n on the asked side, and the same numbers (or -1) on the other.
+
+        ``known``: no exit of an asked point is lighter than this (its core distance at first). It is raised by what is
+        found and holds as long as components only grow, so that a point is looked at again only if it could still matter.
+        """
         low = np.array([core_there[r].min() for r in there.rows])
         single = np.array([comp_there[r[0]] if (comp_there[r] == comp_there[r[0]]).all() else -2 for r in there.rows])
-        for rows, vectors, lo, hi in zip(asked.rows, asked.vectors, asked.lo, asked.hi):
-            own = comp[rows]
+        for leaf in np.argsort([known[r].min() for r in asked.rows], kind="stable"):
+            rows, vectors, lo, hi = asked.rows[leaf], asked.vectors[leaf], asked.lo[leaf], asked.hi[leaf]
+            open_ = known[rows] < self.w[comp[rows]]
+            if not open_.any():
+                continue
+            if not open_.all():
+                rows, vectors = rows[open_], vectors[open_]
+                lo, hi = vectors.min(0), vectors.max(0)
+            own, nearest, rest = comp[rows], np.full(len(rows), np.inf), np.inf
             least = np.maximum(np.maximum(box_distances(lo, hi, there.lo, there.hi), low), core[rows].min())
             only = own[0] if (own == own[0]).all() else None
             for leaf in np.argsort(least, kind="stable"):
                 if least[leaf] >= self.w[own].max():
+                    rest = least[leaf]
                     break
                 if only is not None and single[leaf] == only:
                     continue
@@ -111,9 +134,11 @@ class Exits:
                 w[own[:, None] == comp_there[to][None]] = np.inf
                 at = w.argmin(1)
                 found = w[np.arange(len(rows)), at]
-                for k in np.flatnonzero(found < self.w[own]):
-                    if found[k] < self.w[own[k]]:
-                        self.w[own[k]], self.a[own[k]], self.b[own[k]] = found[k], rows[k], to[at[k]]
+                nearest = np.minimum(nearest, found)
+                lighter = np.flatnonzero(found < self.w[own])[::-1]
+                lighter = lighter[np.argsort(-found[lighter], kind="stable")]  # the lightest of a component is written last
+                self.w[own[lighter]], self.a[own[lighter]], self.b[own[lighter]] = found[lighter], rows[lighter], to[at[lighter]]
+            known[rows] = np.maximum(known[rows], np.minimum(nearest, rest))
 
 
 def merged(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -138,14 +163,14 @@ def inner_tree(vectors: np.ndarray, core: np.ndarray, border: np.ndarray) -> tup
     that could leave its component across the border.
     """
     leaves, n = Leaves(vectors), len(vectors)
-    outside = np.maximum(border, core)
+    outside, known = np.maximum(border, core), core.copy()
     comp, edges = np.arange(n), []
     while True:
         low = np.full(n, np.inf)
         np.minimum.at(low, comp, outside)
         found = Exits(n)
         found.w = np.nextafter(low, np.inf)  # nothing heavier is looked for
-        found.search(leaves, core, comp, leaves, core, comp)
+        found.search(leaves, core, comp, leaves, core, comp, known)
         sure = np.flatnonzero((found.a >= 0) & (found.w <= low))
         if not len(sure):
             break
@@ -216,7 +241,7 @@ def dealt(points: DataFrame, seed: int) -> tuple[DataFrame, Cells, int]:
             vectors = matrix(batch["vec"])
             yield batch.assign(cell=sent.value.of(vectors).astype(np.int32) if len(batch) else batch["id"].astype(np.int32))
 
-    return cut_lineage(points.select("id", "weight", "vec").mapInPandas(deal, POINT)), cells, n
+    return cut_round(points.select("id", "weight", "vec").mapInPandas(deal, POINT)), cells, n
 
 
 def boxes_of(points: DataFrame, *lows) -> pd.DataFrame:
@@ -227,6 +252,15 @@ def boxes_of(points: DataFrame, *lows) -> pd.DataFrame:
     return points.groupBy("cell").agg(lo, hi, *lows).orderBy("cell").toPandas()
 
 
+def parts_of(spark: SparkSession) -> int:
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+def by_cell(rows: DataFrame, cell: str = "cell"):
+    """rows grouped by cell. Cells hold about as many points each and are dealt in turn, not by a hash that crowds some tasks."""
+    return rows.repartitionById(parts_of(rows.sparkSession), cell).groupBy(cell)
+
+
 # ---- core distances --------------------------------------------------------------------------------------
 def core_distances(points: DataFrame, reach: int) -> DataFrame:
     """points plus core: the distance at which ``reach`` comments are reached, the point's own first."""
@@ -265,13 +299,13 @@ def core_distances(points: DataFrame, reach: int) -> DataFrame:
         d, w = kept(d, w)
         return pd.DataFrame({"id": asks["id"].to_numpy(), "d": d, "w": w})
 
-    own = cut_lineage(points.groupBy("cell").applyInPandas(inside, found))
-    more = points.groupBy("cell").cogroup(own.where("to >= 0").groupBy("to")).applyInPandas(other, "id long, d array<double>, w array<long>")
+    own = cut_round(by_cell(points).applyInPandas(inside, found))
+    more = by_cell(points).cogroup(by_cell(own.where("to >= 0"), "to")).applyInPandas(other, "id long, d array<double>, w array<long>")
     lists = own.where("to < 0").select("id", "d", "w").unionByName(more).select("id", F.arrays_zip("d", "w").alias("e"))
     every = F.array_sort(F.flatten(F.collect_list("e")))
     step = lambda s, e: F.when(s["n"] < reach, F.struct((s["n"] + e["w"]).alias("n"), e["d"].alias("core"))).otherwise(s)
     core = F.aggregate(every, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("core")), step)["core"]
-    return cut_lineage(points.join(lists.groupBy("id").agg(core.alias("core")), "id"))
+    return cut_round(points.join(lists.groupBy("id").agg(core.alias("core")), "id"))
 
 
 # ---- spanning tree ---------------------------------------------------------------------------------------
@@ -297,14 +331,16 @@ def spanning_tree(points: DataFrame, cells: Cells) -> DataFrame:
         low = pd.Series(ids).groupby(comp).transform("min").to_numpy()
         return pd.concat([pd.DataFrame({"id": ids, "comp": low, "a": -1, "b": -1, "w": 0.0}), edges])
 
-    grown = cut_lineage(points.groupBy("cell").applyInPandas(grow, "id long, comp long, a long, b long, w double"))
+    grown = cut_round(by_cell(points).applyInPandas(grow, "id long, comp long, a long, b long, w double"))
     tree = [grown.where("id < 0").select("a", "b", "w")]
-    points = cut_lineage(points.join(grown.where("id >= 0").select("id", "comp"), "id"))
-    while points.select("comp").distinct().limit(2).count() > 1:
+    points = points.join(grown.where("id >= 0").select("id", "comp"), "id")
+    points = cut_round(points.repartitionById(parts_of(spark), "cell").sortWithinPartitions("cell"))
+    while not points.agg(F.min("comp") == F.max("comp")).first()[0]:
         edges = cut_round(lightest_exits(points))
         tree.append(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "w"))
         joined = components(edges.select(F.col("comp_a").alias("u"), F.col("comp_b").alias("v")))
-        moved = points.join(joined.select(F.col("id").alias("comp"), "component"), "comp", "left")
+        joined = joined.select(F.col("id").alias("comp"), "component")
+        moved = points.join(F.broadcast(joined) if edges.count() <= SMALL // 2 else joined, "comp", "left")
         points = cut_round(moved.withColumn("comp", F.coalesce("component", "comp")).drop("component"))
     out = tree[0]
     for part in tree[1:]:
@@ -327,15 +363,17 @@ def lightest_exits(points: DataFrame) -> DataFrame:
         leaves, core, ids = Leaves(matrix(rows["vec"])), rows["core"].to_numpy(), rows["id"].to_numpy()
         found = Exits(len(comps))
         if len(comps) > 1:
-            found.search(leaves, core, comp, leaves, core, comp)
+            found.search(leaves, core, comp, leaves, core, comp, core.copy())
         return best(found, comps, ids, comp, ids, comps[comp])
 
     lightest = lambda rows: rows.groupBy("comp_a").agg(F.min(F.struct("w", "a", "b", "comp_b")).alias("e")).select("comp_a", "e.*")
-    near = cut_lineage(lightest(points.groupBy("cell").applyInPandas(inside, schema)))
+    near = cut_round(lightest(by_cell(points).applyInPandas(inside, schema)))
     boxes = boxes_of(points, F.min("core").alias("core"), F.min("comp").alias("one"), F.max("comp").alias("two"))
     # Components that fill their cells alone know no exit yet: one to a point of another cell is a bound.
-    known = cut_lineage(near.unionByName(bounds_of_whole_cells(points, near)))
-    bounded = points.join(known.select(F.col("comp_a").alias("comp"), F.col("w").alias("bound")), "comp", "left")
+    known = cut_round(near.unionByName(bounds_of_whole_cells(points, near)))
+    bounds = known.select(F.col("comp_a").alias("comp"), F.col("w").alias("bound"))
+    # Most points can be in one component: a broadcast leaves them where they are, in order of their cells.
+    bounded = points.join(F.broadcast(bounds) if known.count() <= SMALL else bounds, "comp", "left")
     sent = spark.sparkContext.broadcast((
         boxes["cell"].to_numpy(), matrix(boxes["lo"]), matrix(boxes["hi"]), boxes["core"].to_numpy(),
         np.where(boxes["one"] == boxes["two"], boxes["one"], -1),
@@ -347,11 +385,16 @@ def lightest_exits(points: DataFrame) -> DataFrame:
             vectors, core = matrix(batch["vec"]), batch["core"].to_numpy()
             comp, bound, cell = batch["comp"].to_numpy(), batch["bound"].fillna(np.inf).to_numpy(), batch["cell"].to_numpy()
             rows, to = [], []
-            for k in range(len(number)):
-                least = np.maximum(np.maximum(box_distances(vectors, vectors, lo[k], hi[k]), low[k]), core)
-                at = np.flatnonzero((least < bound) & (cell != number[k]) & (comp != one[k]))
-                rows.append(at)
-                to.append(np.full(len(at), number[k]))
+            for own in np.unique(cell):
+                asked = np.flatnonzero((cell == own) & (core < bound))
+                if not len(asked):
+                    continue
+                near = np.maximum(box_distances(vectors[asked].min(0), vectors[asked].max(0), lo, hi), low) < bound[asked].max()
+                for k in np.flatnonzero(near & (number != own)):
+                    least = np.maximum(box_distances(vectors[asked], vectors[asked], lo[k], hi[k]), low[k])
+                    at = asked[(least < bound[asked]) & (comp[asked] != one[k])]
+                    rows.append(at)
+                    to.append(np.full(len(at), number[k]))
             at = np.concatenate(rows) if rows else np.zeros(0, int)
             yield batch.iloc[at].assign(to=np.concatenate(to) if to else at)
 
@@ -368,10 +411,11 @@ def lightest_exits(points: DataFrame) -> DataFrame:
         found = Exits(len(comps))
         found.w = np.full(len(comps), np.inf)
         np.minimum.at(found.w, comp, asks["bound"].fillna(np.inf).to_numpy())
-        found.search(Leaves(matrix(asks["vec"])), asks["core"].to_numpy(), comp, Leaves(matrix(there["vec"])), there["core"].to_numpy(), same)
+        core = asks["core"].to_numpy()
+        found.search(Leaves(matrix(asks["vec"])), core, comp, Leaves(matrix(there["vec"])), there["core"].to_numpy(), same, core.copy())
         return best(found, comps, asks["id"].to_numpy(), comp, there["id"].to_numpy(), there["comp"].to_numpy())
 
-    far = points.groupBy("cell").cogroup(asks.groupBy("to")).applyInPandas(other, schema)
+    far = by_cell(points).cogroup(by_cell(asks, "to")).applyInPandas(other, schema)
     return lightest(known.unionByName(far))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +49,10 @@ def run_params(labels: DataFrame, settings: Settings) -> DataFrame:
 
 
 def reduced_by(vectors: DataFrame, n: int, neighbours: int, settings: Settings) -> DataFrame:
-    """row_id, vec: few dimensions, by the reducer that the settings name."""
+    """row_id, vec: few dimensions, by the reducer that the settings name. vec may be given as an ml vector."""
     if settings.reducer == "umap":
+        if isinstance(vectors.schema["vec"].dataType, VectorUDT):
+            vectors = vectors.withColumn("vec", vector_to_array("vec", "float32"))
         return layout(vectors, neighbours, settings)
     if settings.reducer == "pca":
         return reduced(vectors, n, settings)
@@ -56,7 +60,7 @@ def reduced_by(vectors: DataFrame, n: int, neighbours: int, settings: Settings)
 
 
 def discover(comments: DataFrame, vectors: DataFrame, settings: Settings, model: str) -> TopicResult:
-    """comments: row_id, cleaned_text. vectors: row_id, vec."""
+    """comments: row_id, cleaned_text. vectors: row_id, vec (an array, or an ml vector)."""
     started = time.time()
     n = vectors.count()
     sized = comments.sparkSession.range(1).select(size_params(F.lit(n), settings).alias("p")).first()["p"]
