@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from voxloom.functions import tokens as K
@@ -56,7 +57,7 @@ def test_reduction_of_sparse_vectors(spark):
 
 def test_one_vector_has_no_components(spark):
     with pytest.raises(ValueError):
-        reduced(spark.createDataFrame([(1, [1.0, 2.0])], "row_id long, vec array<double>"), 1, SETTINGS)
+        reduced(spark.createDataFrame([(1, Vectors.sparse(3, {0: 1.0}))], ["row_id", "vec"]), 1, SETTINGS)
 
 
 def test_points_are_searched_again_only_if_they_matter(monkeypatch):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
@@ -18,14 +19,11 @@ BLOCK = 1024  # rows that are multiplied at once
 
 
 def blocks(batch: pa.RecordBatch, width: int):
-    """Matrices of the rows' vectors (arrays or ml vectors), BLOCK rows each."""
+    """Matrices of the rows' ml vectors, BLOCK rows each."""
     for start in range(0, batch.num_rows, BLOCK):
         vec = batch.column(batch.schema.get_field_index("vec")).slice(start, BLOCK)
         if vec.null_count:
             raise ValueError("a vector is null")
-        if not pa.types.is_struct(vec.type):
-            yield vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vec), width)
-            continue
         at, values, out = pc.struct_field(vec, "indices"), pc.struct_field(vec, "values"), np.zeros((len(vec), width))
         sparse = at.is_valid().to_numpy(zero_copy_only=False)
         of = np.repeat(np.arange(len(vec)), pc.list_value_length(at).fill_null(0).to_numpy())
@@ -65,10 +63,31 @@ def reduced(vectors: DataFrame, n: int, settings: Settings) -> DataFrame:
 
     The number of components is limited by the width and by n - 1. A component's sign is free; it is
     set so that its largest loading is positive. The driver holds one width x width matrix, no rows.
-    vec: an array, or an ml vector. Equal vectors get equal projections, as each is summed up by itself.
+    vec: an array, or an ml vector, which stays sparse.
     """
-    given = isinstance(vectors.schema["vec"].dataType, VectorUDT)
-    width = vectors.first()["vec"].size if given else vectors.select(F.size("vec")).first()[0]
+    if isinstance(vectors.schema["vec"].dataType, VectorUDT):
+        return reduced_sparse(vectors, n, settings)
+    rows = vectors.select("row_id", array_to_vector(F.col("vec").cast("array<double>")).alias("v"))
+    width = vectors.select(F.size("vec")).first()[0]
+    k = min(settings.pca_components, width, max(2, n - 1))
+    model = PCA(k=k, inputCol="v", outputCol="p").fit(rows)
+    loadings = model.pc.toArray()
+    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(k)])
+    projected = model.transform(rows).select("row_id", "p")
+    # the model's own covariance is centred, its projection is not: take the mean off afterwards
+    center = projected.agg(Summarizer.mean(F.col("p")).alias("m")).first()["m"].toArray()
+    fixed = F.array(*[F.struct(F.lit(float(m)).alias("m"), F.lit(float(s)).alias("s")) for m, s in zip(center, signs)])
+    return projected.select(
+        "row_id", F.zip_with(vector_to_array("p"), fixed, lambda x, f: (x - f["m"]) * f["s"]).alias("vec")
+    )
+
+
+def reduced_sparse(vectors: DataFrame, n: int, settings: Settings) -> DataFrame:
+    """``reduced`` for ml vectors: each is spread out only while it is multiplied.
+
+    Equal vectors get equal projections, as each is summed up by itself.
+    """
+    width = vectors.first()["vec"].size
     k = min(settings.pca_components, width, max(2, n - 1))
     mean, spread = covariance(vectors, width)
     loadings = np.linalg.eigh(spread)[1][:, ::-1][:, :k]
